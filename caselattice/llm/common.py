@@ -36,9 +36,10 @@ def ship_package(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where it is unset."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
     sc = spark.sparkContext
+    if named:  # a path without a scheme is one of Hadoop's default store
+        path = sc._jvm.org.apache.hadoop.fs.Path(named)
+        return path.getFileSystem(sc._jsc.hadoopConfiguration()).makeQualified(path).toString().rstrip("/")
     if not getattr(sc, "_caselattice_shared", None):
         sc._caselattice_shared = "file://" + tempfile.mkdtemp(prefix="caselattice-shared-")
         sc.setCheckpointDir(sc._caselattice_shared)

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe
+from . import bpe, common, quality, warc
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -29,3 +32,33 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, keep=("doc_id",), outputs=("n_tokens", "ids_sha256", "decoded_sha256"))
+
+
+@_query("op9_quality_rules")
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_filter(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.array_join("failed_rules", ",").alias("failed_rules")
+    )
+
+
+_OP1_SQL = """
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+     g AS (SELECT payload_digest, max(page_id) AS first FROM p WHERE payload_bytes >= 1000 GROUP BY 1)
+SELECT p.page_id, p.payload_bytes, p.payload_digest,
+       CASE WHEN g.first <> p.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN g.first <> p.page_id THEN g.first END AS refers_to
+FROM p LEFT JOIN g ON p.payload_digest = g.payload_digest AND p.payload_bytes >= 1000
+"""
+
+
+@_query("op1_warc_bundles", _OP1_SQL)
+def op1_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", F.encode(F.coalesce("html", F.lit("")), "utf-8").alias("payload"))
+    planned = warc.plan_revisits(pages, "page_id", "payload")
+    folder = f"{common.shared_dir(spark)}/warc-{uuid.uuid4().hex}"
+    records = planned.select(F.col("page_id").alias("record_id"), "record_type", "refers_to", F.col("url").alias("uri"), "payload", "payload_bytes", "payload_digest")
+    index = warc.write_bundles(records, folder)
+    read = warc.read_bundles(spark, folder, index, fields=("record_id", "record_type", "refers_to", "payload_bytes", "payload_digest", "intact"))
+    # a response that fails its digest stops the query
+    checked = F.when(F.coalesce("intact", F.lit(True)), F.col("payload_digest")).otherwise(F.raise_error(F.lit("a payload differs from its digest")))
+    return read.select(F.col("record_id").cast("long").alias("page_id"), "payload_bytes", checked.alias("payload_digest"), "record_type", F.col("refers_to").cast("long").alias("refers_to"))
