@@ -84,6 +84,11 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
+_STEPS = np.arange(1, 65, dtype=np.uint64) * _BASE
+#: A byte's value in the sums of a word, scrambled so that short words don't fall on small sums.
+_SCRAMBLED = mix(_LOWER.astype(np.uint64) + _BASE)
+
+
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     global _POWERS, _INVERSES
     if len(_POWERS) < n:
@@ -93,37 +98,63 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS[:n], _INVERSES[:n]
 
 
-def word_hashes(data: bytes) -> np.ndarray:
-    """A 64-bit hash of each word of a UTF-8 text, A-Z taken as a-z; the whole text is read."""
-    raw = np.frombuffer(data, np.uint8)
+def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit hash of each word of some UTF-8 texts, A-Z taken as a-z, and where each text's words begin.
+
+    Whole texts are read. The second array has one more entry than there are texts.
+    """
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    raw = np.frombuffer(b" ".join(texts), np.uint8)
+    begins = np.concatenate([np.zeros(1, np.int64), np.cumsum(sizes + 1)])
     if not len(raw):
-        return np.empty(0, np.uint64)
-    edge = np.diff(np.concatenate([[True], _IS_SPACE[raw], [True]]).astype(np.int8))
+        return np.empty(0, np.uint64), np.zeros(len(texts) + 1, np.int64)
+    edge = np.diff(np.concatenate([[True], _IS_SPACE[raw], [True]]).view(np.int8))
     starts, ends = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
-    if not len(starts):
-        return np.empty(0, np.uint64)
     up, down = _powers(len(raw) + 1)
-    # a byte's value is scrambled first, so that short words don't fall on small sums
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(_LOWER[raw].astype(np.uint64) + _BASE) * up[: len(raw)], dtype=np.uint64)])
-    return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64) * _MIX2)
-
-
-def shingle_hashes(words: np.ndarray, size: int = 5) -> np.ndarray:
-    """A hash of each run of ``size`` words, in order; a shorter text with words is one shingle."""
-    if not len(words):
-        return words
-    if len(words) < size:
-        size = len(words)
-    n = len(words) - size + 1
-    out = np.zeros(n, np.uint64)
-    for k in range(size):
-        out = mix(out + words[k : k + n] + _U(k + 1) * _BASE)
-    return out
+    sums = np.empty(len(raw) + 1, np.uint64)
+    sums[0] = 0
+    np.cumsum(_SCRAMBLED[raw] * up[: len(raw)], dtype=np.uint64, out=sums[1:])
+    hashes = mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64) * _MIX2)
+    return hashes, np.searchsorted(starts, begins)
+
 
+def shingle_hashes(words: np.ndarray, begins: np.ndarray, size: int = 5) -> tuple[np.ndarray, np.ndarray]:
+    """A hash of each run of ``size`` words of a text, in order, and where each text's runs begin.
 
-def batches_of(rows: Iterator, columns: int):
-    for batch in rows:
-        yield [batch.column(i).to_pylist() for i in range(columns)]
+    A text with fewer words than that, but at least one, is a single run.
+    """
+    counts = np.diff(begins)
+    n = max(len(words) - size + 1, 0)
+    rolled = np.zeros(n, np.uint64)
+    for k in range(size):
+        rolled = mix(rolled + words[k : k + n] + _STEPS[k])
+    kept = np.where(counts >= size, counts - size + 1, (counts > 0).astype(np.int64))
+    offsets = np.concatenate([np.zeros(1, np.int64), np.cumsum(kept)])
+    place = np.arange(offsets[-1]) - np.repeat(offsets[:-1] - begins[:-1], kept)
+    short = np.flatnonzero((counts > 0) & (counts < size))
+    if not len(short):
+        return rolled[place], offsets
+    out = rolled[np.minimum(place, max(n - 1, 0))] if n else np.zeros(offsets[-1], np.uint64)
+    for i in short:
+        h = np.zeros(1, np.uint64)
+        for k in range(counts[i]):
+            h = mix(h + words[begins[i] + k] + _STEPS[k])
+        out[offsets[i]] = h[0]
+    return out, offsets
+
+
+def text_chunks(batches: Iterator, column: int, most: int = 2 << 20):
+    """(record batch slice, its texts as bytes) of about ``most`` bytes each, a longer text by itself; null is empty."""
+    for batch in batches:
+        texts = [t.encode() if t else b"" for t in batch.column(column).to_pylist()]
+        at = 0
+        while at < len(texts):
+            end, held = at, 0
+            while end < len(texts) and (end == at or held + len(texts[end]) <= most):
+                held += len(texts[end])
+                end += 1
+            yield batch.slice(at, end - at), texts[at:end]
+            at = end
 
 
 # --- components -------------------------------------------------------------------------------------

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, common, quality, warc
+from . import bpe, common, decontaminate, line_dedup, quality, warc
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -62,3 +62,37 @@ def op1_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
     # a response that fails its digest stops the query
     checked = F.when(F.coalesce("intact", F.lit(True)), F.col("payload_digest")).otherwise(F.raise_error(F.lit("a payload differs from its digest")))
     return read.select(F.col("record_id").cast("long").alias("page_id"), "payload_bytes", checked.alias("payload_digest"), "record_type", F.col("refers_to").cast("long").alias("refers_to"))
+
+
+_OP7_SQL = r"""
+WITH raw AS (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents),
+     bare AS (SELECT doc_id, source, pos, line, trim(line, E' \t\n\x0b\f\r') AS b, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words FROM raw),
+     spread AS (SELECT b FROM bare WHERE words >= 3 GROUP BY b HAVING count(DISTINCT coalesce(source, '')) >= 10),
+     hit AS (SELECT bare.*, words >= 3 AND spread.b IS NOT NULL AS h FROM bare LEFT JOIN spread ON bare.b = spread.b),
+     doc AS (SELECT doc_id, count(*) FILTER (h) AS n, 2 * coalesce(sum(words) FILTER (h), 0) > sum(words) AS c,
+                    coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT h), '') AS t, string_agg(line, chr(10) ORDER BY pos) AS whole FROM hit GROUP BY doc_id)
+SELECT doc_id, n AS n_spread, CASE WHEN c THEN 0 ELSE n END AS n_removed, c AS is_copy, md5(CASE WHEN c THEN whole ELSE t END) AS text_md5 FROM doc
+"""
+
+
+@_query("op7_line_spread", _OP7_SQL)
+def op7_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return line_dedup.remove_boilerplate(docs).select("doc_id", "n_spread", "n_removed", "is_copy", F.md5("text").alias("text_md5"))
+
+
+_OP8_SQL = r"""
+WITH t AS (SELECT 0 AS k, doc_id AS id, text FROM documents UNION ALL SELECT 1, item_id, text FROM benchmark),
+     w AS (SELECT k, id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM t),
+     s AS (SELECT DISTINCT k, id, array_to_string(w[i : i + least(len(w), 5) - 1], ' ') AS sh
+           FROM (SELECT k, id, w, unnest(generate_series(1, greatest(len(w) - 4, 1))) AS i FROM w WHERE len(w) > 0)),
+     n AS (SELECT id, count(*) AS n FROM s WHERE k = 1 GROUP BY id)
+SELECT d.id AS doc_id, b.id AS item_id, any_value(n.n) AS n_item, count(*) AS n_shared
+FROM s b JOIN s d ON b.sh = d.sh AND b.k = 1 AND d.k = 0 JOIN n ON n.id = b.id
+GROUP BY 1, 2 HAVING count(*) >= 0.8 * any_value(n.n)
+"""
+
+
+@_query("op8_benchmark_leaks", _OP8_SQL)
+def op8_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))

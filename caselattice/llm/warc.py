@@ -208,8 +208,10 @@ def read_bundles(spark: SparkSession, folder: str, index: DataFrame, *, fields:
                             found.append(record)
                         yield pa.RecordBatch.from_arrays([pa.array([r[n] for r in found], k) for n, k, _ in chosen], names=[n for n, _, _ in chosen])
 
-    bundles = index.groupBy("bundle").agg(F.count(F.lit(1)).alias("records")).select("bundle")
-    return bundles.mapInArrow(run, _records_schema(tuple(n for n, _, _ in chosen)))
+    bundles = index.select("bundle").distinct()
+    # a task for each few bundles: their names alone would look small enough for one
+    dealt = bundles.repartition(max(1, min(bundles.count(), 100_000)), "bundle")
+    return dealt.mapInArrow(run, _records_schema(tuple(n for n, _, _ in chosen)))
 
 
 def fetch(folder: str, wanted: DataFrame, *, fields: tuple[str, ...] = tuple(n for n, _, _ in RECORD_FIELDS)) -> DataFrame:
