@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, common, decontaminate, line_dedup, quality, toxicity, warc
+from . import bpe, common, decontaminate, html_extract, line_dedup, quality, toxicity, warc
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -105,3 +105,8 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = toxicity.score(docs, model, keep=("doc_id",))
     held = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) == 2
     return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@_query("op5_html_text")
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
