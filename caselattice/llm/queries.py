@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, common, decontaminate, html_extract, line_dedup, quality, toxicity, warc
+from . import bpe, common, decontaminate, html_extract, line_dedup, lm_score, quality, toxicity, warc
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -110,3 +110,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op5_html_text")
 def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
+@_query("op6_context_tree")
+def op6_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    held = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(7)) == 2
+    return lm_score.score(docs, held)
