@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, common, decontaminate, html_extract, line_dedup, lm_score, quality, toxicity, warc
+from . import bpe, common, decontaminate, html_extract, line_dedup, lm_score, ngram_join, quality, toxicity, warc
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -117,3 +117,21 @@ def op6_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     held = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(7)) == 2
     return lm_score.score(docs, held)
+
+
+_OP2_SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id AS id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+     s AS (SELECT DISTINCT id, array_to_string(w[i : i + least(len(w), 5) - 1], ' ') AS sh FROM (SELECT id, w, unnest(generate_series(1, greatest(len(w) - 4, 1))) AS i FROM w WHERE len(w) > 0)),
+     n AS (SELECT id, count(*) AS n FROM s GROUP BY id),
+     p AS (SELECT a.id AS a, b.id AS b, count(*) AS k FROM s a JOIN s b ON a.sh = b.sh AND a.id <> b.id GROUP BY 1, 2),
+     l AS (SELECT p.a, p.b, p.k = x.n AND p.k = y.n AS same FROM p JOIN n x ON x.id = p.a JOIN n y ON y.id = p.b WHERE p.k >= 0.8 * (x.n + y.n - p.k)),
+     r AS (SELECT doc_id AS id, doc_id AS m FROM documents UNION SELECT l.a, r.m FROM r JOIN l ON l.b = r.id AND r.m < l.a),
+     c AS (SELECT id, min(m) AS class_id FROM r GROUP BY id)
+SELECT d.doc_id, any_value(c.class_id) AS class_id, least(d.doc_id, coalesce(min(l.b) FILTER (l.same), d.doc_id)) AS rep_id, count(l.b) AS n_links
+FROM documents d JOIN c ON c.id = d.doc_id LEFT JOIN l ON l.a = d.doc_id GROUP BY d.doc_id
+"""
+
+
+@_query("op2_ngram_jaccard", _OP2_SQL)
+def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similarity_classes(_table(spark, sf_dir, "documents"))
