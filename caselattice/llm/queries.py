@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, common, decontaminate, html_extract, line_dedup, lm_score, ngram_join, quality, toxicity, warc
+from . import bpe, common, decontaminate, html_extract, line_dedup, lm_score, ngram_join, quality, secret_scan, toxicity, warc
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -135,3 +135,9 @@ FROM documents d JOIN c ON c.id = d.doc_id LEFT JOIN l ON l.a = d.doc_id GROUP B
 @_query("op2_ngram_jaccard", _OP2_SQL)
 def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similarity_classes(_table(spark, sf_dir, "documents"))
+
+
+@_query("op3_secret_scan")
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(_table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return found.select("doc_id", "position", F.sha2("candidate", 256).alias("candidate_sha256"), F.col("length").cast("int").alias("length"), "entropy", "coverage", "score", "is_secret")
