@@ -171,7 +171,7 @@ def mine_stems(toxic: DataFrame, clean: DataFrame, n_toxic: int, n_clean: int, *
 class LabelModel:
     """Accuracies of binary voters under a hidden label, by expectation maximisation; correlated voters share a weight."""
 
-    def __init__(self, votes: np.ndarray, counts: np.ndarray, start: np.ndarray, rounds: int = 25):
+    def __init__(self, votes: np.ndarray, counts: np.ndarray, start: np.ndarray, rounds: int = 80):
         post, self.weight = start.astype(float), np.ones(votes.shape[1])
         for k in range(rounds):
             one, zero = counts * post, counts * (1 - post)
@@ -179,7 +179,7 @@ class LabelModel:
             # a voter is presumed to be rare in either class, and rarer in the clean one
             self.on1 = (one @ votes + 0.5) / (one.sum() + 2)
             self.on0 = (zero @ votes + 0.02) / (zero.sum() + 2)
-            if k == rounds // 2:
+            if k % 10 == 9:
                 self.weight = self._shares(votes, counts, post)
             post = self.posterior(votes)
         self.post = post
