@@ -143,7 +143,7 @@ def shingle_hashes(words: np.ndarray, begins: np.ndarray, size: int = 5) -> tupl
     return out, offsets
 
 
-def text_chunks(batches: Iterator, column: int, most: int = 2 << 20):
+def text_chunks(batches: Iterator, column: int, most: int = 1 << 19):
     """(record batch slice, its texts as bytes) of about ``most`` bytes each, a longer text by itself; null is empty."""
     for batch in batches:
         texts = [t.encode() if t else b"" for t in batch.column(column).to_pylist()]

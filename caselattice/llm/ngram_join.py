@@ -28,7 +28,7 @@ from . import common
 _U = np.uint64
 COORDINATES = 128
 BRANCHES = 2
-LEAF, DEEPEST, BLOCK = 64, 8, 256
+LEAF, DEEPEST, BLOCK = 2048, 8, 256
 #: Nodes to verify up to which their identifiers are broadcast (16 bytes each); beyond it they are joined by a shuffle.
 BROADCAST_NODES = 500_000
 
@@ -70,19 +70,32 @@ def sketches(hashes: np.ndarray, begins: np.ndarray) -> np.ndarray:
     return out
 
 
-def alike(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Share of equal coordinates, of rows of ``a`` with rows of ``b``."""
-    out = np.empty((len(a), len(b)), np.float32)
-    for i in range(0, len(a), 32):
-        out[i : i + 32] = (a[i : i + 32, None, :] == b[None, :, :]).mean(axis=2)
-    return out
+def alike(sig: np.ndarray, cut: float) -> np.ndarray:
+    """Which rows of ``sig`` have ``cut`` or more of their coordinates in common, as a symmetric matrix.
+
+    One bit of each coordinate goes first, in a matrix product: rows as like as that agree in (1 + cut) / 2 of the bits,
+    less six standard errors; whole coordinates settle the rows that pass.
+    """
+    bits = (sig & np.uint16(1)).astype(np.float32) * 2 - 1
+    slack = 6 * 2 * math.sqrt((1 + cut) / 2 * (1 - cut) / 2 / COORDINATES)
+    out = np.zeros((len(sig), len(sig)), bool)
+    for i in range(0, len(sig), 256):
+        near = bits[i : i + 256] @ bits[i:].T >= COORDINATES * (cut - slack)
+        a, b = np.nonzero(near)
+        later = b > a
+        a, b = a[later] + i, b[later] + i
+        for k in range(0, len(a), 1 << 15):
+            x, y = a[k : k + (1 << 15)], b[k : k + (1 << 15)]
+            same = (sig[x] == sig[y]).mean(axis=1) >= cut
+            out[x[same], y[same]] = True
+    return out | out.T
 
 
 def forest(nodes: np.ndarray, linked: np.ndarray) -> list[tuple[int, int]]:
     """Edges (node, least node of its component) of a symmetric matrix of links."""
-    label = np.arange(len(nodes))
+    label = np.arange(len(nodes), dtype=np.int32)
     while True:
-        low = np.where(linked, label[None, :], len(nodes)).min(axis=1)
+        low = np.where(linked, label[None, :], np.int32(len(nodes))).min(axis=1)
         new = np.minimum(label, low)
         new = new[new]
         if (new == label).all():
@@ -192,7 +205,7 @@ def _compare_leaves(rows: DataFrame, cut: float) -> DataFrame:
                 if node[0] != node[1] and (sig[0] == sig[1]).mean() >= cut:
                     edges.append((int(node[0]), int(node[1])))
             elif len(node) > 2:
-                edges += ngram_join.forest(node, ngram_join.alike(sig, sig) >= cut)
+                edges += ngram_join.forest(node, ngram_join.alike(sig, cut))
             if len(edges) > 20_000:
                 yield ngram_join._edge_batch(edges)
                 edges = []
@@ -209,7 +222,7 @@ def _compare_blocks(rows: DataFrame, cut: float) -> DataFrame:
 
         for _, table in ngram_join._groups(batches, 3):
             node, sig = table.column(3).to_numpy(), ngram_join._signatures(table.column(4))
-            yield ngram_join._edge_batch(ngram_join.forest(node, ngram_join.alike(sig, sig) >= cut))
+            yield ngram_join._edge_batch(ngram_join.forest(node, ngram_join.alike(sig, cut)))
 
     return _in_blocks(rows, "key", ["node", "sig"]).mapInArrow(run, "a long, b long")
 
@@ -293,7 +306,7 @@ def links_of(sets: list[np.ndarray], threshold: float, split: int | None = None)
         width = max(1024, (1 << 22) // n)
         for a in range(0, int(useful.sum()), width):
             lo, hi = np.searchsorted(column, (a, a + width))
-            block = np.zeros((n, width), np.float32)
+            block = np.zeros((n, min(width, int(useful.sum()) - a)), np.float32)
             block[owner[lo:hi], column[lo:hi] - a] = 1
             both += block @ block.T
         both = np.rint(both).astype(np.int64)
