@@ -31,7 +31,7 @@ from . import common
 
 _U = np.uint64
 _LOWER = bytes(range(256)).lower()
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 
 
 # --- packed arrays ----------------------------------------------------------------------------------
