@@ -310,3 +310,44 @@ def test_stream_of_cases(spark, tmp_path):
         annotate_cases(spark, str(cases), str(tmp_path / "out"), str(tmp_path / "state"), lambda q: q).awaitTermination()
     got = sorted((r.id, r.row_index, r.query) for r in spark.read.parquet(str(tmp_path / "out")).collect())
     assert got == [(str(n), 1, "打开电源。按下按钮。电源") for n in range(3)]
+
+
+def test_indexes(spark, tmp_path):
+    from caselattice.operators import index
+
+    records = spark.createDataFrame([("a", "电源 开"), ("b", "阀门 关"), ("c", "")], "id string, _text string")
+    encode = lambda texts: [[float(len(t)), 1.0] for t in texts]
+    index.build_index(records, str(tmp_path / "i"), key="id", encode=index.vector_encoder(encode), model="m")
+    opened = index.open_index(spark, str(tmp_path / "i"), records)
+    assert opened["manifest"]["documents"] == 3 and opened["manifest"]["model"] == "m"
+    queries = spark.createDataFrame([("q", "开电")], "query string, text string")
+    found = index.search_index(opened, queries, query_tokens=tx.index_tokens("text"), encode=index.vector_encoder(encode, "Q:")).collect()
+    assert [(r.doc, r.bm25_rank, r.dense_rank, r.final_rank) for r in found] == [("a", 1, 1, 1)] and found[0].margin is None
+    plain = index.search_index(opened, queries, query_tokens=tx.index_tokens("text")).first()
+    assert plain.dense is None and plain.rrf == pytest.approx(1 / 61)
+    with pytest.raises(ValueError, match="another corpus"):
+        index.open_index(spark, str(tmp_path / "i"), records.limit(2))
+    with pytest.raises(ValueError):
+        index.checked_records(records.unionByName(records), "id")
+
+
+def test_judgements(spark):
+    from caselattice.operators import index
+
+    answers = ['{"needs_retrieval":"是","referenced_ids":"x","referenced_tasks":["t",null],"reason":"r"}', '{"needs_retrieval":false}', "{}", "bad", None]
+    got = values(spark, index.judgement("x"), answers)
+    assert (got[0].needs_retrieval, got[0].referenced_ids, got[0].referenced_tasks, got[0].reason, got[0].parse_ok) == (True, ["x"], ["t"], "r", True)
+    assert [(g.needs_retrieval, g.parse_ok) for g in got[1:]] == [(False, True), (False, False), (False, False), (False, False)]
+    cases = spark.createDataFrame([("1", "s", "记录电压@v1"), ("2", None, "b*@v1 见前序用例")], "id string, source string, content string")
+    tables = spark.createDataFrame([("2", [{"判据关联标志": "@k"}])], "id string, rows array<map<string,string>>")
+    docs = index.case_documents(cases, tables)
+    assert {r.id: r.defined_ids for r in docs.collect()} == {"1": ["V1"], "2": ["K"]}
+    asked = {r.id: r for r in index.search_request(docs, index.judgement(F.lit("{}"))).collect()}
+    assert asked["2"].needed and asked["2"].overridden and "V1" in asked["2"].targets and not asked["1"].needed
+
+
+def test_summaries(spark):
+    assert scoring.pair_details([STEP], [STEP])[0]["fields"]["说明"]["similarity"] == 1
+    rows = spark.createDataFrame([([1, 2, 3, 4], [-100, -100, 3, 4])], "t array<int>, l array<int>")
+    assert scoring.tokenised_summary(rows, "t", "l").first().supervised_ratio == 0.5
+    assert tuple(scoring.invalid_lines(spark.createDataFrame([(1,), (1,), (2,)], "line_number int")).first()) == (2, 3)
