@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from itertools import chain
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -38,7 +39,7 @@ class PrefixEncoder:
         self.bytes_of = {rank: token for token, rank in ranks.items()}
         self.longest = max(map(len, ranks))
         self._alone: dict[int, bool] = {}
-        self._pairs: dict[tuple[int, int], bool] = {}
+        self._pairs: dict[int, bool] = {}
         self._pieces: dict[str, tuple[int, ...]] = {}
 
     def _merged(self, data: bytes) -> list[int]:
@@ -65,22 +66,30 @@ class PrefixEncoder:
 
     def goes_together(self, left: int, right: int) -> bool:
         """Whether two adjacent tokens stay as they are when their bytes are merged."""
-        known = self._pairs.get((left, right))
+        known = self._pairs.get(left << 32 | right)
         if known is None:
             known = self._merged(self.bytes_of[left] + self.bytes_of[right]) == [left, right]
             if len(self._pairs) < KEPT_PAIRS:
-                self._pairs[left, right] = known
+                self._pairs[left << 32 | right] = known
         return known
 
     def extend(self, data: bytes, last: list[int]) -> list[int]:
         """``last[i]`` is the last token of the prefix of i + 1 bytes; adds those that are missing for ``data``."""
-        ranks, goes, longest = self.ranks, self.goes_together, self.longest
+        find, pair, longest = self.ranks.get, self._pairs.get, self.longest
         for end in range(len(last) + 1, len(data) + 1):
-            for start in range(max(0, end - longest), end):
-                token = ranks.get(data[start:end])
-                if token is not None and (goes(last[start - 1], token) if start else self.stands_alone(token)):
+            if end <= longest:
+                token = find(data[:end])
+                if token is not None and self.stands_alone(token):
                     last.append(token)
-                    break
+                    continue
+            for start in range(max(1, end - longest), end):
+                token = find(data[start:end])
+                if token is not None:
+                    left = last[start - 1]
+                    good = pair(left << 32 | token)
+                    if good or good is None and self.goes_together(left, token):
+                        last.append(token)
+                        break
             else:
                 raise ValueError("the vocabulary lacks a single byte")
         return last
@@ -103,12 +112,35 @@ class PrefixEncoder:
                 self._pieces[piece] = known
         return known
 
+    def learn(self, texts: list[list[str]]) -> list[str]:
+        """Encodes the pieces of some texts that are not known yet; returns those to forget afterwards.
+
+        In sorted order each piece begins like the one before, whose prefix tokens hold for as far as the two agree.
+        """
+        known, ranks = self._pieces, self.ranks
+        fresh = sorted((p.encode(), p) for p in set().union(*texts).difference(known))
+        before, last = b"", []
+        for data, piece in fresh:
+            whole = ranks.get(data)
+            if whole is not None:
+                known[piece] = (whole,)
+                continue
+            same = 0
+            for x, y in zip(before, data):
+                if x != y:
+                    break
+                same += 1
+            del last[same:]
+            known[piece] = self.tokens(self.extend(data, last))
+            before = data
+        return [p for _, p in fresh] if len(known) > KEPT_PIECES else []
+
+    def forget(self, pieces: list[str]) -> None:
+        for p in pieces:
+            del self._pieces[p]
+
     def encode(self, pieces: Iterable[str]) -> list[int]:
-        out: list[int] = []
-        take, known = out.extend, self._pieces
-        for piece in pieces:
-            take(known.get(piece) or self.encode_piece(piece))
-        return out
+        return list(chain.from_iterable(map(self.encode_piece, pieces)))
 
     def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
@@ -165,6 +197,20 @@ _OUTPUTS = {
 _ENCODERS: dict[str, PrefixEncoder] = {}
 
 
+def chunks_of(column: pa.Array, most: int = 1 << 20) -> Iterator[list[str]]:
+    """The column's texts, null as empty, in lists of about ``most`` characters."""
+    held, size = [], 0
+    for value in column:
+        text = value.as_py() or ""
+        if held and size + len(text) > most:
+            yield held
+            held, size = [], 0
+        held.append(text)
+        size += len(text)
+    if held:
+        yield held
+
+
 def encode(docs: DataFrame, rank_file: str, pattern: str, *, text: str = "text", keep: tuple[str, ...] | None = None, outputs: tuple[str, ...] = ("ids", "n_tokens")) -> DataFrame:
     """Adds the chosen ``outputs`` of every row's whole text; ``keep`` names the columns that stay (all by default).
 
@@ -192,20 +238,25 @@ def encode(docs: DataFrame, rank_file: str, pattern: str, *, text: str = "text",
         split = regex.compile(pattern).findall
         for batch in batches:
             found: dict[str, list] = {o: [] for o in wanted}
-            for value in batch.column(n_kept):
-                ids = encoder.encode(split(value.as_py() or ""))
-                if "ids" in found:
-                    found["ids"].append(ids)
-                if "n_tokens" in found:
-                    found["n_tokens"].append(len(ids))
-                if "ids_sha256" in found:
-                    found["ids_sha256"].append(hashlib.sha256(" ".join(map(spelled.__getitem__, ids)).encode()).hexdigest())
-                if "decoded" in found or "decoded_sha256" in found:
-                    data = encoder.decode(ids)
-                    if "decoded" in found:
-                        found["decoded"].append(data)
-                    if "decoded_sha256" in found:
-                        found["decoded_sha256"].append(hashlib.sha256(data).hexdigest())
+            for texts in chunks_of(batch.column(n_kept)):
+                pieces = [split(t) for t in texts]
+                passing = encoder.learn(pieces)
+                known = encoder._pieces.__getitem__
+                for own in pieces:
+                    ids = list(chain.from_iterable(map(known, own)))
+                    if "ids" in found:
+                        found["ids"].append(ids)
+                    if "n_tokens" in found:
+                        found["n_tokens"].append(len(ids))
+                    if "ids_sha256" in found:
+                        found["ids_sha256"].append(hashlib.sha256(" ".join(map(spelled.__getitem__, ids)).encode()).hexdigest())
+                    if "decoded" in found or "decoded_sha256" in found:
+                        data = encoder.decode(ids)
+                        if "decoded" in found:
+                            found["decoded"].append(data)
+                        if "decoded_sha256" in found:
+                            found["decoded_sha256"].append(hashlib.sha256(data).hexdigest())
+                encoder.forget(passing)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(i) for i in range(n_kept)] + [pa.array(found[o], _OUTPUTS[o][1]) for o in wanted],
                 names=[*kept, *wanted],
