@@ -74,10 +74,10 @@ _DOT = "list_sum(list_transform(list_zip(LEFT_V, RIGHT_V), lambda x: x[1]::DOUBL
 
 
 @query("dense_topk", f"""WITH s AS (SELECT q.vec_id AS query_id, d.vec_id AS vec_id, floor({_DOT.replace('LEFT_V', 'q.embedding').replace('RIGHT_V', 'd.embedding')} * 1e6 + 0.5)::BIGINT AS dense_e6
-FROM embeddings q, embeddings d WHERE q.vec_id < 20), k AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY dense_e6 DESC, vec_id) AS rank FROM s) SELECT * FROM k WHERE rank <= 10""")
+FROM embeddings q, embeddings d WHERE q.vec_id % 20 = 0), k AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY dense_e6 DESC, vec_id) AS rank FROM s) SELECT * FROM k WHERE rank <= 10""")
 def dense_topk(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings")
-    scored = retrieval.dense_scores(vectors.where("vec_id < 20"), vectors, query="vec_id", item="vec_id", vector="embedding").withColumn("dense_e6", micro("dense"))
+    scored = retrieval.dense_scores(vectors.where("vec_id % 20 = 0"), vectors, query="vec_id", item="vec_id", vector="embedding").withColumn("dense_e6", micro("dense"))
     return retrieval.top_k(scored, 10, score="dense_e6").select(F.col("query").alias("query_id"), F.col("doc").alias("vec_id"), "dense_e6", "rank")
 
 
@@ -119,11 +119,11 @@ def decision_ladder(spark, sf_dir):
 
 
 @query("cross_case_rrf", f"""WITH s AS (SELECT q.vec_id AS query_id, d.vec_id AS vec_id, floor({_DOT.replace('LEFT_V', 'q.embedding').replace('RIGHT_V', 'd.embedding')} * 1e6 + 0.5)::BIGINT AS dense, (q.vec_id * 31 + d.vec_id * 17) % 1009 AS lexical, d.label = q.label AS defines
-FROM embeddings q, embeddings d WHERE q.vec_id < 10 AND q.vec_id <> d.vec_id), r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY lexical DESC, vec_id) AS lr, row_number() OVER (PARTITION BY query_id ORDER BY dense DESC, vec_id) AS dr FROM s),
+FROM embeddings q, embeddings d WHERE q.vec_id % 20 = 0 AND q.vec_id <> d.vec_id), r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY lexical DESC, vec_id) AS lr, row_number() OVER (PARTITION BY query_id ORDER BY dense DESC, vec_id) AS dr FROM s),
 k AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY defines DESC, 1.0::DOUBLE / (1 + lr) + 1.0::DOUBLE / (1 + dr) DESC, vec_id) AS rank FROM r) SELECT query_id, vec_id, defines, rank FROM k WHERE rank <= 5""")
 def cross_case_rrf(spark, sf_dir):
     v = table(spark, sf_dir, "embeddings")
-    asked = F.broadcast(v.where("vec_id < 10").select(F.col("vec_id").alias("query"), F.col("embedding").alias("qv"), F.col("label").alias("ql")))  # ten rows
+    asked = retrieval.small(v.where("vec_id % 20 = 0").select(F.col("vec_id").alias("query"), F.col("embedding").alias("qv"), F.col("label").alias("ql")))
     met = v.crossJoin(asked).select("query", F.col("vec_id").alias("doc"), micro(sim.dot(F.col("qv"), F.col("embedding"))).alias("dense"), ((F.col("query") * 31 + F.col("vec_id") * 17) % 1009).alias("lexical"), (F.col("label") == F.col("ql")).alias("defines"))
     return retrieval.cross_case(met).select(F.col("query").alias("query_id"), F.col("doc").alias("vec_id"), "defines", "rank")
 
@@ -132,11 +132,11 @@ _EIGHT = "list_transform(generate_series(0, 7), lambda k: V[k * 8 + 1 : k * 8 +
 
 
 @query("maxsim_topk", f"""WITH e AS (SELECT vec_id, {_EIGHT.replace('V', 'embedding')} AS m FROM embeddings),
-s AS (SELECT q.vec_id AS query_id, d.vec_id AS vec_id, list_sum(list_transform(q.m, lambda x: list_max(list_transform(d.m, lambda y: list_sum(list_transform(list_zip(x, y), lambda z: z[1]::DOUBLE * z[2]::DOUBLE)))))) AS s FROM e q, e d WHERE q.vec_id < 5),
+s AS (SELECT q.vec_id AS query_id, d.vec_id AS vec_id, list_sum(list_transform(q.m, lambda x: list_max(list_transform(d.m, lambda y: list_sum(list_transform(list_zip(x, y), lambda z: z[1]::DOUBLE * z[2]::DOUBLE)))))) AS s FROM e q, e d WHERE q.vec_id % 20 = 0),
 k AS (SELECT query_id, vec_id, floor(s * 1e6 + 0.5)::BIGINT AS score_e6, row_number() OVER (PARTITION BY query_id ORDER BY floor(s * 1e6 + 0.5) DESC, vec_id) AS rank FROM s) SELECT * FROM k WHERE rank <= 10""")
 def maxsim_topk(spark, sf_dir):
     many = table(spark, sf_dir, "embeddings").select("vec_id", F.transform(F.sequence(F.lit(0), F.lit(7)), lambda k: F.slice("embedding", k * 8 + 1, 8)).alias("m"))
-    asked = F.broadcast(many.where("vec_id < 5").select(F.col("vec_id").alias("query"), F.col("m").alias("qm")))  # five rows
+    asked = retrieval.small(many.where("vec_id % 20 = 0").select(F.col("vec_id").alias("query"), F.col("m").alias("qm")))
     scored = many.crossJoin(asked).select("query", F.col("vec_id").alias("doc"), micro(sim.max_sim(F.col("qm"), F.col("m"))).alias("score_e6"))
     return retrieval.top_k(scored, 10, score="score_e6").select(F.col("query").alias("query_id"), F.col("doc").alias("vec_id"), "score_e6", "rank")
 
@@ -274,14 +274,14 @@ def masked_labels(spark, sf_dir):
     return full.select("conv_id", labels.alias("l")).select("conv_id", F.size("l").alias("n"), F.size(F.filter("l", lambda x: x == -100)).alias("n_masked"), F.aggregate(F.filter("l", lambda x: x != -100), F.lit(0), lambda s, x: s + x).alias("label_sum"))
 
 
-@query("context_window", """WITH g AS (SELECT conv_id, turn, role, text, CASE WHEN role = 'assistant' THEN NULL ELSE substr(text, 1, 40) END AS given FROM conversations),
+@query("context_window", """WITH g AS (SELECT conv_id, turn, role, text, CASE WHEN role = 'assistant' THEN NULL ELSE text END AS given FROM conversations),
 w AS (SELECT *, list(given) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING) AS before FROM g)
-SELECT conv_id, turn, len(list_filter(coalesce(before, []), lambda x: x IS NOT NULL)) AS n_before, array_to_string(list_filter(coalesce(before, []), lambda x: x IS NOT NULL) || [substr(text, 1, 40)], '。') AS query FROM w WHERE role = 'assistant'""")
+SELECT conv_id, turn, len(list_filter(coalesce(before, []), lambda x: x IS NOT NULL)) AS n_before, array_to_string(list_filter(coalesce(before, []), lambda x: x IS NOT NULL) || [text], '。') AS query FROM w WHERE role = 'assistant'""")
 def context_window(spark, sf_dir):
-    given = F.when(F.col("role") == "assistant", F.lit(None)).otherwise(F.substring("text", 1, 40))
+    given = F.when(F.col("role") == "assistant", F.lit(None)).otherwise(F.col("text"))
     before = F.collect_list(given).over(Window.partitionBy("conv_id").orderBy("turn").rowsBetween(-3, -1))
     rows = table(spark, sf_dir, "conversations").withColumn("before", before).where("role = 'assistant'")
-    return rows.select("conv_id", "turn", F.size("before").alias("n_before"), F.array_join(F.concat("before", F.array(F.substring("text", 1, 40))), "。").alias("query"))
+    return rows.select("conv_id", "turn", F.size("before").alias("n_before"), F.array_join(F.concat("before", F.array("text")), "。").alias("query"))
 
 
 @query("nested_islands", """WITH g AS (SELECT *, sum((event_type = 'signup')::INT) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS island FROM events)
@@ -356,14 +356,13 @@ def positional_align(spark, sf_dir):
     return scoring.positional_pairs(rows, rows.where("turn > 0"), "conv_id", "role", "turn").select("conv_id", "role", "left_index", "right_index")
 
 
-_PAIRED_TEXT = "p AS (SELECT item_id, coalesce(substr(b.text, 1, 200), '') AS x, coalesce(substr(d.text, 1, 200), '') AS y FROM benchmark b JOIN documents d ON d.doc_id = b.item_id)"
+_PAIRED_TEXT = "p AS (SELECT item_id, coalesce(b.text, '') AS x, coalesce(d.text, '') AS y FROM benchmark b JOIN documents d ON d.doc_id = b.item_id)"
 _PAIRS = "list_distinct(list_transform(generate_series(1, greatest(length(V) - 1, 1)), lambda i: substr(V, i, 2)))"
 
 
 def _paired_text(spark, sf_dir) -> DataFrame:
-    head = lambda c: F.coalesce(F.substring(c, 1, 200), F.lit(""))
-    docs = table(spark, sf_dir, "documents").select("doc_id", head("text").alias("y"))
-    return table(spark, sf_dir, "benchmark").select("item_id", head("text").alias("x")).join(docs, F.col("item_id") == F.col("doc_id"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", tx.text_of("text").alias("y"))
+    return table(spark, sf_dir, "benchmark").select("item_id", tx.text_of("text").alias("x")).join(docs, F.col("item_id") == F.col("doc_id"))
 
 
 @query("bigram_similarity", f"""WITH {_PAIRED_TEXT}, g AS (SELECT item_id, {_PAIRS.replace('V', 'x')} AS a, {_PAIRS.replace('V', 'y')} AS b FROM p)
@@ -409,11 +408,11 @@ def signals(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", F.array_join(tx.referenced_ids("text"), ",").alias("ids"), (F.size(tx.referenced_tasks("text")) == 0).alias("no_task"))
 
 
-@query("reference_forms", r"""SELECT doc_id, CASE WHEN contains(s, '@') THEN trim(regexp_replace(regexp_replace(regexp_replace(s, '@[A-Za-z0-9_\x{4e00}-\x{9fff}]+', '@ID', 'g'), '\s*([*+\-/])\s*', ' \1 ', 'g'), '\s+', ' ', 'g')) ELSE s END AS form
-FROM (SELECT doc_id, trim(substr(text, 1, 30), E' \n\t') || ' a*@' || source || '+ 2' AS s FROM documents WHERE lang = 'en')""")
+@query("reference_forms", r"""SELECT doc_id, md5(CASE WHEN contains(s, '@') THEN trim(regexp_replace(regexp_replace(regexp_replace(s, '@[A-Za-z0-9_\x{4e00}-\x{9fff}]+', '@ID', 'g'), '\s*([*+\-/])\s*', ' \1 ', 'g'), '\s+', ' ', 'g')) ELSE s END) AS form_md5
+FROM (SELECT doc_id, trim(text, E' \n\t') || ' a*@' || source || '+ 2' AS s FROM documents)""")
 def reference_forms(spark, sf_dir):
-    made = F.concat(tx.strip(F.substring("text", 1, 30)), F.lit(" a*@"), F.col("source"), F.lit("+ 2"))
-    return table(spark, sf_dir, "documents").where("lang = 'en'").select("doc_id", tx.reference_form(made).alias("form"))
+    made = F.concat(tx.strip("text"), F.lit(" a*@"), F.col("source"), F.lit("+ 2"))
+    return table(spark, sf_dir, "documents").select("doc_id", F.md5(tx.reference_form(made)).alias("form_md5"))
 
 
 @query("number_forms", "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CASE WHEN l_quantity = floor(l_quantity) THEN l_quantity::BIGINT::VARCHAR END || ';x' AS form FROM lineitem")
@@ -450,11 +449,11 @@ def dedupe_distinct_parts(spark, sf_dir):
 def _tables(spark, sf_dir) -> DataFrame:
     """Conversations as case tables: turns are rows, roles their levels; predictions lack the first turn."""
     level = F.create_map(*[F.lit(x) for x in ("system", "用例", "user", "步骤", "assistant", "判据")])
-    row = F.create_map(F.lit("步骤层级"), F.element_at(level, F.col("role")), F.lit("说明"), F.substring("text", 1, 60), F.lit("判据描述"), F.substring("text", 20, 40))
+    row = F.create_map(F.lit("步骤层级"), F.element_at(level, F.col("role")), F.lit("说明"), F.col("text"), F.lit("判据描述"), F.reverse("text"))
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", row.alias("row"))
     both = turns.groupBy(F.col("conv_id").alias("id")).agg(F.array_sort(F.collect_list(F.struct("turn", F.map_entries("row").alias("row")))).alias("t"))
     rows = F.transform("t", lambda x: F.map_from_entries(x["row"]))
-    return both.select("id", rows.alias("gt_rows"), F.slice(rows, 2, 1000).alias("pred_rows"))
+    return both.select("id", rows.alias("gt_rows"), F.slice(rows, 2, F.size("t")).alias("pred_rows"))
 
 
 @query("table_scores")
@@ -474,7 +473,7 @@ def table_score_means(spark, sf_dir):
 
 @query("json_recovery")
 def json_recovery(spark, sf_dir):
-    rows = F.to_json(F.array(F.create_map(F.lit("步骤层级"), F.lit("步骤"), F.lit("说明"), F.substring("text", 1, 40))))
+    rows = F.to_json(F.array(F.create_map(F.lit("步骤层级"), F.lit("步骤"), F.lit("说明"), F.col("text"))))
     shapes = F.when(F.col("doc_id") % 4 == 0, rows).when(F.col("doc_id") % 4 == 1, F.concat(F.lit("<think>[1]</think>```json\n"), rows, F.lit("\n```"))).when(F.col("doc_id") % 4 == 2, F.concat(F.lit('{"rows":'), rows, F.lit("}"))).otherwise(F.col("text"))
     found = jsonparse.recover_rows(table(spark, sf_dir, "documents").select("doc_id", shapes.alias("raw")), "raw", keep=("doc_id",))
     return found.select("doc_id", F.size("rows").alias("n_rows"), "parse_success", "strict_json_array", "parse_mode")
