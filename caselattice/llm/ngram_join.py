@@ -59,15 +59,25 @@ def sets_of(texts: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray, np.n
     return hashes, begins, identity
 
 
-def sketches(hashes: np.ndarray, begins: np.ndarray) -> np.ndarray:
-    """COORDINATES 16-bit MinHash values of each non-empty set."""
+def root_coordinates(runs: int) -> np.ndarray:
+    """The coordinates drawn at the root of each run, BRANCHES of them."""
+    return (common.mix(np.arange(1, runs * BRANCHES + 1, dtype=np.uint64) * _FACTORS[0]) % _U(COORDINATES)).astype(np.int64)
+
+
+def sketches(hashes: np.ndarray, begins: np.ndarray, runs: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of each non-empty set: the keys of its buckets below the roots, by whole MinHash values, and COORDINATES of them
+    in 8 bits each, which is enough to compare sets and to split buckets further."""
     full = begins[:-1][np.diff(begins) > 0]
-    out = np.empty((len(full), COORDINATES), np.uint16)
+    drawn = root_coordinates(runs)
+    sig, keys = np.empty((len(full), COORDINATES), np.uint8), np.empty((len(full), len(drawn)), np.int64)
     if len(full):
         folded = hashes ^ (hashes >> _U(29))
         for k, factor in enumerate(_FACTORS):
-            out[:, k] = common.mix(np.minimum.reduceat(folded * factor, full)) & _U(0xFFFF)
-    return out
+            least = common.mix(np.minimum.reduceat(folded * factor, full))
+            sig[:, k] = least & _U(0xFF)
+            for place in np.flatnonzero(drawn == k):
+                keys[:, place] = common.mix(least ^ common.mix(_FACTORS[1] + _U(place + 1))).view(np.int64)
+    return sig, keys
 
 
 def alike(sig: np.ndarray, cut: float) -> np.ndarray:
@@ -76,7 +86,7 @@ def alike(sig: np.ndarray, cut: float) -> np.ndarray:
     One bit of each coordinate goes first, in a matrix product: rows as like as that agree in (1 + cut) / 2 of the bits,
     less six standard errors; whole coordinates settle the rows that pass.
     """
-    bits = (sig & np.uint16(1)).astype(np.float32) * 2 - 1
+    bits = (sig & np.uint8(1)).astype(np.float32) * 2 - 1
     slack = 6 * 2 * math.sqrt((1 + cut) / 2 * (1 - cut) / 2 / COORDINATES)
     out = np.zeros((len(sig), len(sig)), bool)
     for i in range(0, len(sig), 256):
@@ -126,7 +136,7 @@ def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[tupl
 
 
 def _signatures(column) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, COORDINATES)
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, COORDINATES)
 
 
 def _edge_batch(edges: list[tuple[int, int]]) -> pa.RecordBatch:
@@ -141,22 +151,26 @@ def _child_keys(parent: np.ndarray, sig: np.ndarray, branch: int) -> np.ndarray:
     return common.mix(draw + sig[np.arange(len(sig)), at].astype(np.uint64) * _FACTORS[branch + 2]).view(np.int64)
 
 
-def _nodes(docs: DataFrame, size: int) -> DataFrame:
-    """(doc_id, node, n, sig) of every row; node is null where a text has no set."""
+def _nodes(docs: DataFrame, size: int, runs: int) -> DataFrame:
+    """(doc_id, node, n, sig, keys) of every row; node is null where a text has no set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from caselattice.llm import ngram_join
 
         for rows, texts in common.text_chunks(batches, 1):
             hashes, begins, identity = ngram_join.sets_of(texts, size)
-            sig, full = ngram_join.sketches(hashes, begins), np.diff(begins) > 0
-            packed = iter(sig)
+            sig, keys = ngram_join.sketches(hashes, begins, runs)
+            full = np.diff(begins) > 0
+            packed, listed = iter(sig), iter(keys.tolist())
             yield pa.RecordBatch.from_arrays(
-                [rows.column(0), pa.array(identity.view(np.int64), mask=~full), pa.array(np.diff(begins), pa.int64()), pa.array([next(packed).tobytes() if f else None for f in full], pa.binary())],
-                names=["doc_id", "node", "n", "sig"],
-            )
+                [
+                    rows.column(0), pa.array(identity.view(np.int64), mask=~full), pa.array(np.diff(begins), pa.int64()),
+                    pa.array([next(packed).tobytes() if f else None for f in full], pa.binary()), pa.array([next(listed) if f else None for f in full], pa.list_(pa.int64())),
+                ],
+                names=["doc_id", "node", "n", "sig", "keys"],
+            )
 
-    return docs.mapInArrow(run, "doc_id long, node long, n long, sig binary")
+    return docs.mapInArrow(run, "doc_id long, node long, n long, sig binary, keys array<long>")
 
 
 def _split(rows: DataFrame) -> DataFrame:
@@ -175,23 +189,6 @@ def _split(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "key long, node long, label long, sig binary")
 
 
-def _first_keys(nodes: DataFrame, runs: int) -> DataFrame:
-    """(key, node): the children of every run's root, without the sketches."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from caselattice.llm import ngram_join
-
-        for batch in batches:
-            if batch.num_rows:
-                sig = ngram_join._signatures(batch.column(1))
-                for r in range(runs):
-                    for branch in range(BRANCHES):
-                        keys = ngram_join._child_keys(np.full(len(sig), r + 1, np.int64), sig, branch)
-                        yield pa.RecordBatch.from_arrays([pa.array(keys), batch.column(0)], names=["key", "node"])
-
-    return nodes.select("node", "sig").mapInArrow(run, "key long, node long")
-
-
 def _compare_leaves(rows: DataFrame, cut: float) -> DataFrame:
     """Forest edges of the small buckets of (key, node, label, sig): pairs of different labels, by brute force."""
 
@@ -239,11 +236,11 @@ def _in_blocks(rows: DataFrame, group: str, columns: list[str]) -> DataFrame:
     return paired.repartition(group, "one", "other").sortWithinPartitions(group, "one", "other")
 
 
-def candidate_edges(nodes: DataFrame, *, threshold: float, recall: float) -> DataFrame:
-    """Edges whose components hold every pair of nodes at the threshold, but for the recall. ``nodes`` has node and sig."""
-    runs = runs_needed(threshold, recall)
+def candidate_edges(nodes: DataFrame, *, threshold: float) -> DataFrame:
+    """Edges whose components hold every pair of nodes at the threshold, but for the recall. ``nodes`` has node,
+    sig and keys; there are as many keys as the recall asks for."""
     cut = threshold - 5 * math.sqrt(threshold * (1 - threshold) / COORDINATES)
-    first = common.stash(_first_keys(nodes, runs), "join-keys")
+    first = nodes.select("node", F.explode("keys").alias("key"))
     sizes = first.groupBy("key").agg(F.count(F.lit(1)).alias("n_rows")).where("n_rows > 1")
     rows = first.join(common.stash(sizes, "join-sizes"), "key")
     rows = common.stash(rows.join(nodes.select("node", "sig"), "node").select("key", "node", F.col("node").alias("label"), "sig", "n_rows"), "join-buckets")
@@ -376,10 +373,10 @@ def similarity_classes(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "
     """
     common.ship_package(docs.sparkSession)
     named = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    rows = common.stash(_nodes(named, size), "join-nodes")
-    nodes = rows.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.min("sig").alias("sig"))
+    rows = common.stash(_nodes(named, size, runs_needed(threshold, recall)), "join-nodes")
+    nodes = rows.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.min("sig").alias("sig"), F.min("keys").alias("keys"))
     nodes = common.stash(nodes, "join-distinct")
-    edges = common.stash(candidate_edges(nodes, threshold=threshold, recall=recall).distinct(), "join-edges")
+    edges = common.stash(candidate_edges(nodes, threshold=threshold).distinct(), "join-edges")
     parts = common.connected_components(edges)
     sizes = parts.groupBy("component").agg(F.count(F.lit(1)).alias("n_rows"))
     members = parts.join(sizes, "component").select("node", F.col("component").alias("part"), "n_rows").join(nodes.select("node", "rep", "copies"), "node")
