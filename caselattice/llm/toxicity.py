@@ -54,11 +54,30 @@ def stems(word: str):
         yield word[:n]
 
 
+#: A stem's features: that one word has it, or two or three different words (marked at the end).
+TIMES = {1: "", 2: "\x02", 3: "\x03"}
+
+
+def features_of(words: set[str], only: frozenset[str] | None = None) -> set[str]:
+    """The features of a text's distinct words, or those of ``only``."""
+    met = Counter(s for word in words for s in stems(word))
+    found = {s + mark for s, k in met.items() for times, mark in TIMES.items() if k >= times}
+    return found if only is None else found & only
+
+
 class Features:
-    """Finds which of a bounded list of stems a text has; longer stems stand beside the shorter ones they extend."""
+    """Finds which of a bounded list of features a text has."""
 
     def __init__(self, names: list[str]):
-        self.at = {name: i for i, name in enumerate(names)}
+        self.at: dict[str, int] = {}
+        self.marks: list[list[tuple[int, int]]] = []  # of each stem: (different words needed, feature)
+        for i, name in enumerate(names):
+            stem = name.rstrip("\x02\x03")
+            times = next(k for k, mark in TIMES.items() if name == stem + mark)
+            if stem not in self.at:
+                self.at[stem] = len(self.marks)
+                self.marks.append([])
+            self.marks[self.at[stem]].append((times, i))
         self._known: dict[str, tuple[int, ...]] = {}
 
     def of_word(self, word: str) -> tuple[int, ...]:
@@ -70,19 +89,20 @@ class Features:
         return known
 
     def of_text(self, text: str | None) -> tuple[list[int], int, int]:
-        """(distinct features, words with a feature, words)"""
+        """(distinct features, words that bear one, words)"""
         words = words_of(text)
-        found: set[int] = set()
-        hits = 0
-        get, known = self.of_word, self._known
+        bearing: list[tuple[tuple[int, ...], int]] = []
+        known, get = self._known, self.of_word
         for word, n in Counter(words).items():
             own = known.get(word)
             if own is None:
                 own = get(word)
             if own:
-                found.update(own)
-                hits += n
-        return sorted(found), hits, len(words)
+                bearing.append((own, n))
+        met = Counter(stem for own, _ in bearing for stem in own)
+        found = {stem: [i for times, i in self.marks[stem] if k >= times] for stem, k in met.items()}
+        hits = sum(n for own, n in bearing if any(found[stem] for stem in own))
+        return sorted(i for own in found.values() for i in own), hits, len(words)
 
 
 def _counts(rows: DataFrame, wanted: frozenset[str] | None) -> DataFrame:
@@ -101,8 +121,7 @@ def _counts(rows: DataFrame, wanted: frozenset[str] | None) -> DataFrame:
 
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                own = {s for word in set(toxicity.words_of(text)) for s in toxicity.stems(word)}
-                total.update(own if only is None else own & only)
+                total.update(toxicity.features_of(set(toxicity.words_of(text)), only))
             if len(total) > 500_000:
                 yield drain()
         yield drain()
@@ -143,27 +162,33 @@ def mine_stems(toxic: DataFrame, clean: DataFrame, n_toxic: int, n_clean: int, *
     doesn't already say the same. At most ``candidates`` stems, the most frequent in toxic rows, come to the driver.
     """
     met = common.stash(_counts(toxic, None).where("n >= 3"), "toxic-stems")
-    n_met = met.count()
     likely = {r[0]: r[1] for r in met.orderBy(F.desc("n"), "feature").limit(candidates).collect()}
     if not likely:
         return []
     also = {r[0]: r[1] for r in _counts(clean, frozenset(likely)).collect()}
     share = n_toxic / max(n_toxic + n_clean, 1)
-    bar = 2 * math.log(max(n_met, 2)) + 2
+    mark = lambda name: name[len(name.rstrip("\x02\x03")) :]
+    # chance is that of the best among as many features of the same kind
+    bars = {m: 2 * math.log(n + 1) + 2 for m, n in Counter(map(mark, likely)).items()}
 
     def ratio(t: int, c: int) -> float:
         p = t / (t + c)
         return 2 * (t * math.log(p / share) + (c * math.log((1 - p) / (1 - share)) if c else 0.0))
 
-    kept: dict[str, tuple[int, int]] = {}
-    for name in sorted(likely, key=lambda s: (len(s), s)):
-        t, c = likely[name], also.get(name, 0)
-        if t / (t + c) < max(share, precision) or ratio(t, c) < bar:
-            continue
-        parents = [kept[p] for p in (name.rstrip("$")[:n] for n in PREFIXES) if p != name and p in kept]
-        if any(pt / (pt + pc) >= t / (t + c) - 0.01 for pt, pc in parents):
-            continue
-        kept[name] = (t, c)
+    fine: dict[str, tuple[int, int]] = {}
+    for name, t in likely.items():
+        c = also.get(name, 0)
+        if t / (t + c) >= max(share, precision) and t / (t + c) > share and ratio(t, c) >= bars[mark(name)]:
+            fine[name] = (t, c)
+
+    def shorter(name: str) -> list[str]:
+        stem = name.rstrip("\x02\x03")
+        return [p for p in (stem.rstrip("$")[:n] + mark(name) for n in PREFIXES) if p != name and p in fine]
+
+    # of stems that say the same the longest stays, and none that a more general one with equal precision covers
+    covered = {p for name, (t, _) in fine.items() for p in shorter(name) if t >= 0.9 * fine[p][0]}
+    kept = {name: v for name, v in fine.items() if name not in covered}
+    kept = {name: (t, c) for name, (t, c) in kept.items() if not any(p in kept and kept[p][0] / sum(kept[p]) >= t / (t + c) - 0.01 for p in shorter(name))}
     best = sorted(kept, key=lambda s: (-ratio(*kept[s]), s))[:most]
     return [(s, *kept[s]) for s in best]
 
