@@ -14,7 +14,7 @@ from . import common
 
 _SPACES = " \t\n\x0b\f\r"
 #: Measures with an upper fence and the least distance of that fence from the median.
-UPPER = {"symbol_ratio": 0.15, "dup_line_ratio": 0.3, "repeat_ratio": 0.25, "echo_ratio": 0.1, "upper_ratio": 0.3, "mark_ratio": 0.3, "mean_word_chars": 4.0}
+UPPER = {"symbol_ratio": 0.15, "dup_line_ratio": 0.6, "repeat_ratio": 0.3, "echo_ratio": 0.12, "upper_ratio": 0.3, "mark_ratio": 0.3, "mean_word_chars": 5.0}
 #: Measures with a lower fence.
 LOWER = {"mean_word_chars": 2.5}
 
