@@ -50,10 +50,23 @@ def stash(df: DataFrame, label: str) -> DataFrame:
     """Writes ``df`` to the shared folder and reads it back: lineage ends there and lost executors lose nothing."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    written = spark.sparkContext.__dict__.setdefault("_caselattice_written", [])
+    written.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> int:
+    """Deletes the tables that `stash` has written in this session, once what was read from them is no longer needed."""
+    written = spark.sparkContext.__dict__.setdefault("_caselattice_written", [])
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    n = len(written)
+    while written:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(written.pop())
+        path.getFileSystem(conf).delete(path, True)
+    return n
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     shared_dir(df.sparkSession)
     return df.checkpoint()
