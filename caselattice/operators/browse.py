@@ -71,3 +71,24 @@ def columns_in_order(tables: DataFrame, canonical: list[str], by: str = "id", ro
 
 def row_style(modified: Column, level: Column, index: Column) -> Column:
     return F.when(modified, 8).when(level == "执行步骤", 7).when(index % 2 == 0, 5).otherwise(6)
+
+
+#: The files of a results folder with two variants, and of an older one.
+PAIRED_FILES = {"vllm_compare_summary.json", "base_predictions.jsonl", "lora_predictions.jsonl"}
+OLDER_FILE = "did_batch_summary.json"
+
+
+def layout(names: set[str]) -> str:
+    """What a results folder holds: two variants' predictions, an older batch, or nothing of use."""
+    return "paired" if PAIRED_FILES <= names else "legacy" if OLDER_FILE in names else "missing"
+
+
+def export_request_errors(n_rows: Column, n_final: Column, indexes: Column, most: int = 1000) -> Column:
+    """What is wrong with a request to export a table with edits at some rows."""
+    checks = [
+        ((n_rows < 1) | (n_rows > most), "row_count"),
+        (n_rows != n_final, "tables_differ_in_rows"),
+        (F.exists(indexes, lambda i: i.isNull() | (i < 0) | (i >= n_rows)), "index_out_of_range"),
+        (F.size(F.array_distinct(indexes)) != F.size(indexes), "index_repeated"),
+    ]
+    return F.array_compact(F.array(*[F.when(bad, name) for bad, name in checks]))

@@ -182,3 +182,22 @@ def merge_judgement(heuristic: Column, judged: Column) -> tuple[Column, Column]:
     """(needed, overridden): the heuristic can only switch on."""
     said = F.coalesce(judged, F.lit(False))
     return said | heuristic, heuristic & ~said
+
+
+def locate_rows(record: Column) -> Column:
+    """The rows of a JSON record: the list itself, else the first list among its row fields."""
+    from caselattice.functions.jsonparse import typed_rows
+
+    fields = ("rows", "pred_rows", schema.ROW_LIST_KEYS[0])
+    return F.coalesce(typed_rows(record), *[typed_rows(F.get_json_object(record, f"$.{name}")) for name in fields], F.array().cast("array<map<string,struct<kind:string,value:string>>>"))
+
+
+def measured_lengths(chats: DataFrame, tokens, messages: str = "messages") -> DataFrame:
+    """Adds prompt, assistant and total token counts, and whether the whole begins with the prompt's tokens (else the
+    assistant's count is null). ``tokens`` maps a text column to an array of tokens."""
+    said = lambda upto: F.array_join(F.transform(upto, lambda m: F.concat(m["role"], F.lit("\n"), m["content"], F.lit("\n"))), "")
+    held = chats.withColumns({"__prompt": tokens(said(F.slice(messages, 1, F.size(messages) - 1))), "__whole": tokens(said(F.col(messages)))})
+    fits = F.slice("__whole", 1, F.size("__prompt")) == F.col("__prompt")
+    return held.withColumns(
+        {"prompt_tokens": F.size("__prompt"), "total_tokens": F.size("__whole"), "prefix_match": fits, "assistant_tokens": F.when(fits, F.size("__whole") - F.size("__prompt"))}
+    ).drop("__prompt", "__whole")

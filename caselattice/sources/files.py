@@ -249,3 +249,18 @@ def file_hashes(spark: SparkSession, path: str) -> DataFrame:
 def fingerprint(df: DataFrame) -> DataFrame:
     """Rows and an order-free hash of a table, to hold an index against the corpus it was made of."""
     return df.agg(F.count(F.lit(1)).alias("n_rows"), F.coalesce(F.bit_xor(F.xxhash64(*df.columns)), F.lit(0)).alias("hash"))
+
+
+_READ: dict[str, tuple[tuple, DataFrame]] = {}
+
+
+def cached_json_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Lenient objects of a path, kept in memory until a file's time or size changes."""
+    seen = spark.read.format("binaryFile").load(path).agg(F.array_sort(F.collect_list(F.struct("path", "modificationTime", "length"))).alias("f")).first().f
+    mark = tuple(map(tuple, seen))
+    held = _READ.get(path)
+    if held is None or held[0] != mark:
+        if held is not None:
+            held[1].unpersist()
+        held = _READ[path] = (mark, lenient_json_lines(spark, path, schema).cache())
+    return held[1]

@@ -351,3 +351,23 @@ def test_summaries(spark):
     rows = spark.createDataFrame([([1, 2, 3, 4], [-100, -100, 3, 4])], "t array<int>, l array<int>")
     assert scoring.tokenised_summary(rows, "t", "l").first().supervised_ratio == 0.5
     assert tuple(scoring.invalid_lines(spark.createDataFrame([(1,), (1,), (2,)], "line_number int")).first()) == (2, 3)
+
+
+def test_small_checks(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    got = values(spark, F.size(prep.locate_rows(F.col("x"))), ['[{"a":"1"}]', '{"pred_rows":[{},{}]}', '{"步骤列表":[{}]}', '{"rows":1}', "x", None])
+    assert got == [1, 2, 1, 0, 0, 0]
+    chats = spark.createDataFrame([([Row(role="user", content="ab"), Row(role="assistant", content="c")],)], "messages array<struct<role:string,content:string>>")
+    m = prep.measured_lengths(chats, lambda c: F.split(c, "")).first()
+    assert (m.prompt_tokens, m.total_tokens, m.assistant_tokens, m.prefix_match) == (8, 20, 12, True)
+    rows = spark.createDataFrame([(2, 2, [0, 1]), (2, 3, [0, 0]), (0, 0, [5])], "n int, f int, i array<int>")
+    assert [r[0] for r in rows.select(browse.export_request_errors(F.col("n"), F.col("f"), F.col("i"))).collect()] == [[], ["tables_differ_in_rows", "index_repeated"], ["row_count", "index_out_of_range"]]
+    assert browse.layout(browse.PAIRED_FILES | {"x"}) == "paired" and browse.layout({browse.OLDER_FILE}) == "legacy" and browse.layout(set()) == "missing"
+    path = tmp_path / "c.jsonl"
+    path.write_text('{"id":"1"}\n', encoding="utf-8")
+    kind = T._parse_datatype_string("id string")
+    first = files.cached_json_lines(spark, str(path), kind)
+    assert files.cached_json_lines(spark, str(path), kind) is first
+    path.write_text('{"id":"1"}\n{"id":"2"}\n', encoding="utf-8")
+    assert files.cached_json_lines(spark, str(path), kind).count() == 2
