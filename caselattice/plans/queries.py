@@ -213,7 +213,7 @@ def length_profile(spark, sf_dir):
 
 @query("length_p95_floor", "SELECT lang, list_sort(list(n_chars))[(floor((count(*) - 1) * 0.95::DOUBLE))::BIGINT + 1] AS p95 FROM documents GROUP BY lang")
 def length_p95_floor(spark, sf_dir):
-    return table(spark, sf_dir, "documents").groupBy("lang").agg(scoring.floor_percentile("n_chars", 0.95).alias("p95"))
+    return scoring.floor_percentile(table(spark, sf_dir, "documents"), "n_chars", 0.95, ("lang",), "p95")
 
 
 @query("over_thresholds", """SELECT x AS limit_value, count(*) FILTER (n_chars > x) AS n_over, floor(100.0::DOUBLE * count(*) FILTER (n_chars > x) / count(*) * 1e6 + 0.5)::BIGINT AS percent_e6 FROM documents, (VALUES (1000), (4096), (8192)) v(x) GROUP BY x""")
