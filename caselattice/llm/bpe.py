@@ -22,8 +22,8 @@ from pyspark.sql import types as T
 from . import common
 
 #: Pieces whose encoding a worker keeps; the first ones met stay, which are the frequent ones. Bounds memory only.
-KEPT_PIECES = 1_000_000
-KEPT_PAIRS = 1_000_000
+KEPT_PIECES = 500_000
+KEPT_PAIRS = 500_000
 
 
 def read_ranks(data: bytes) -> dict[bytes, int]:
@@ -194,7 +194,6 @@ _OUTPUTS = {
     "decoded": (T.BinaryType(), pa.binary()),
     "decoded_sha256": (T.StringType(), pa.string()),
 }
-_ENCODERS: dict[str, PrefixEncoder] = {}
 
 
 def chunks_of(column: pa.Array, most: int = 1 << 20) -> Iterator[list[str]]:
@@ -231,9 +230,10 @@ def encode(docs: DataFrame, rank_file: str, pattern: str, *, text: str = "text",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from caselattice.llm import bpe
 
-        encoder = bpe._ENCODERS.get(name)
+        held = common.held_by("bpe")
+        encoder = held.get(name)
         if encoder is None:
-            encoder = bpe._ENCODERS[name] = bpe.PrefixEncoder(bpe.read_ranks(ranks.value))
+            encoder = held[name] = bpe.PrefixEncoder(bpe.read_ranks(ranks.value))
         spelled = {token: str(token) for token in encoder.bytes_of}
         split = regex.compile(pattern).findall
         for batch in batches:

@@ -2,35 +2,29 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
-import zipfile
 from collections.abc import Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from caselattice.session import ship_package  # noqa: F401
+
 #: ASCII white space of the word definition ``[^\x20\x09-\x0D]+``; ``bytes.split()`` cuts at the same bytes.
 SPACE_CLASS = r"[\x20\x09-\x0D]+"
 
 
-def ship_package(spark: SparkSession) -> None:
-    """Sends this package's sources to the executors once per context, so that workers can import it."""
-    sc = spark.sparkContext
-    if getattr(sc, "_caselattice_shipped", False):
-        return
-    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    path = os.path.join(tempfile.mkdtemp(prefix="caselattice-"), "caselattice_sources.zip")
-    with zipfile.ZipFile(path, "w") as z:
-        for folder, _, names in os.walk(root):
-            for name in sorted(names):
-                if name.endswith(".py"):
-                    full = os.path.join(folder, name)
-                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
-    sc.addPyFile(path)
-    sc._caselattice_shipped = True
+_HELD: dict[str, dict] = {}
+
+
+def held_by(operator: str) -> dict:
+    """What a Python worker keeps between tasks of an operator. Workers serve one operator after another: what others
+    have left in this one is let go first, so that an executor holds the memory of one operator only."""
+    for other in [k for k in _HELD if k != operator]:
+        del _HELD[other]
+    return _HELD.setdefault(operator, {})
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -110,6 +110,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id",
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             from caselattice.llm import decontaminate
+            common.held_by("decontaminate")
 
             index = decontaminate.ItemIndex(shared.value, rounds, size)
             for rows, texts in common.text_chunks(batches, 1):

@@ -187,6 +187,7 @@ def _shards(docs: DataFrame, shard_bytes: int) -> DataFrame:
         from pyspark import TaskContext
 
         from caselattice.llm import lm_score
+        common.held_by("lm_score")
 
         squeeze = zstandard.ZstdCompressor(level=3).compress
         part, seen = TaskContext.get().partitionId(), 0
@@ -219,6 +220,7 @@ def _requests(shards: DataFrame, depth: int, owners: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from caselattice.llm import lm_score
+        common.held_by("lm_score")
 
         state: dict = {}
 
@@ -285,6 +287,7 @@ def _word_counts(requests: DataFrame) -> DataFrame:
 
     def total(table: pa.Table) -> pa.Table:
         from caselattice.llm import lm_score
+        common.held_by("lm_score")
 
         unzip = zstandard.ZstdDecompressor().decompress
         asked = [unzip(k).split(b" ") for k in table.column("keys").to_pylist()]
@@ -307,6 +310,7 @@ def _tree_counts(requests: DataFrame, n_shards: int, fan_in: int = 64) -> DataFr
 
     def merge(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         from caselattice.llm import lm_score
+        common.held_by("lm_score")
 
         keys, counts = lm_score.merge_counts([lm_score.unpack_sorted(k) for k in table.column("keys").to_pylist()], [lm_score.unpack(c, np.int64) for c in table.column("counts").to_pylist()])
         return pa.table({"owner": pa.array([key[0].as_py()], pa.int64()), "part": pa.array([key[1].as_py() // fan_in], pa.int64()), "keys": pa.array([lm_score.pack_sorted(keys)], pa.binary()), "counts": pa.array([lm_score.pack(counts)], pa.binary())})
@@ -341,6 +345,7 @@ def _top(counts: DataFrame, depth: int) -> _Top:
 
     def second(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from caselattice.llm import lm_score
+        common.held_by("lm_score")
 
         for batch in batches:
             for i in range(batch.num_rows):
@@ -352,6 +357,7 @@ def _top(counts: DataFrame, depth: int) -> _Top:
 
     def first(table: pa.Table) -> pa.Table:
         from caselattice.llm import lm_score
+        common.held_by("lm_score")
 
         columns = [np.concatenate([lm_score.unpack(x, k) for x in table.column(c).to_pylist()]) for c, k in (("nodes", np.uint64), ("n0", float), ("n1", float), ("rest", float))]
         nodes, place = np.unique(columns[0], return_inverse=True)
@@ -370,6 +376,7 @@ def _model(counts: DataFrame, top: _Top, depth: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from caselattice.llm import lm_score
+        common.held_by("lm_score")
 
         for batch in batches:
             for i in range(batch.num_rows):
@@ -388,6 +395,7 @@ def _slices(requests: DataFrame, model: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from caselattice.llm import lm_score
+        common.held_by("lm_score")
 
         for batch in batches:
             logs = []
@@ -423,6 +431,7 @@ def score(docs: DataFrame, held: Column, *, doc_id: str = "doc_id", text: str =
 
     def run(texts: pa.Table, answers: pa.Table) -> pa.Table:
         from caselattice.llm import lm_score
+        common.held_by("lm_score")
 
         logs, unknown = {}, set()
         unzip = zstandard.ZstdDecompressor().decompress

@@ -157,6 +157,7 @@ def _nodes(docs: DataFrame, size: int, runs: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from caselattice.llm import ngram_join
+        common.held_by("ngram_join")
 
         for rows, texts in common.text_chunks(batches, 1):
             hashes, begins, identity = ngram_join.sets_of(texts, size)
@@ -179,6 +180,7 @@ def _split(rows: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from caselattice.llm import ngram_join
+        common.held_by("ngram_join")
 
         for batch in batches:
             if batch.num_rows:
@@ -195,6 +197,7 @@ def _compare_leaves(rows: DataFrame, cut: float) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from caselattice.llm import ngram_join
+        common.held_by("ngram_join")
 
         edges: list[tuple[int, int]] = []
         for _, table in ngram_join._groups(batches, 1):
@@ -217,6 +220,7 @@ def _compare_blocks(rows: DataFrame, cut: float) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from caselattice.llm import ngram_join
+        common.held_by("ngram_join")
 
         for _, table in ngram_join._groups(batches, 3):
             node, sig = table.column(3).to_numpy(), ngram_join._signatures(table.column(4))
@@ -274,6 +278,7 @@ def _against(rows: DataFrame, cut: float) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from caselattice.llm import ngram_join
+        common.held_by("ngram_join")
 
         for batch in batches:
             if batch.num_rows:
@@ -324,6 +329,7 @@ def _verified(members: DataFrame, docs: DataFrame, size: int, threshold: float)
 
     def cut_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from caselattice.llm import ngram_join
+        common.held_by("ngram_join")
 
         for rows, texts in common.text_chunks(batches, 0):
             hashes, begins, identity = ngram_join.sets_of(texts, size)
@@ -336,6 +342,7 @@ def _verified(members: DataFrame, docs: DataFrame, size: int, threshold: float)
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from caselattice.llm import ngram_join
+        common.held_by("ngram_join")
 
         out: list[tuple] = []
         for (_, one, other), table in ngram_join._groups(batches, 3):

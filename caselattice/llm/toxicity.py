@@ -111,6 +111,7 @@ def _counts(rows: DataFrame, wanted: frozenset[str] | None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from caselattice.llm import toxicity
+        common.held_by("toxicity")
 
         only, total = shared.value, Counter()
 
@@ -275,6 +276,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from caselattice.llm import toxicity
+        common.held_by("toxicity")
 
         features = toxicity.Features(shared.value)
         for batch in batches:
@@ -313,6 +315,7 @@ def score(docs: DataFrame, model: Model, *, text: str = "text", keep: tuple[str,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from caselattice.llm import toxicity
+        common.held_by("toxicity")
 
         own = toxicity.Model(*shared.value)
         features = toxicity.Features(own.names)

@@ -154,6 +154,7 @@ def write_bundles(records: DataFrame, folder: str, *, bundle_bytes: int = 64 <<
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from caselattice.llm import warc
+        common.held_by("warc")
 
         store, base = pyarrow.fs.FileSystem.from_uri(folder)
         store.create_dir(base, recursive=True)
@@ -194,6 +195,7 @@ def read_bundles(spark: SparkSession, folder: str, index: DataFrame, *, fields:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from caselattice.llm import warc
+        common.held_by("warc")
 
         store, base = pyarrow.fs.FileSystem.from_uri(folder)
         unpack = zstandard.ZstdDecompressor()
@@ -221,6 +223,7 @@ def fetch(folder: str, wanted: DataFrame, *, fields: tuple[str, ...] = tuple(n f
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from caselattice.llm import warc
+        common.held_by("warc")
 
         store, base = pyarrow.fs.FileSystem.from_uri(folder)
         unpack = zstandard.ZstdDecompressor()
