@@ -220,7 +220,7 @@ def strip_host(pages: list[tuple[int, list[str]]], *, run_tokens: int, min_pages
     return texts
 
 
-def extract(pages: DataFrame, *, page_id: str = "page_id", url: str = "url", source: str = "html", run_tokens: int = 8, min_pages: int = 3, article_share: float = 0.5, article_pages: int = 5, group_bytes: int = 16 << 20) -> DataFrame:
+def extract(pages: DataFrame, *, page_id: str = "page_id", url: str = "url", source: str = "html", run_tokens: int = 8, min_pages: int = 3, article_share: float = 0.5, article_pages: int = 5, group_bytes: int = 4 << 20) -> DataFrame:
     """(page_id, url, text, n_chars) of every page.
 
     One shuffle, of the compressed blocks, by host and group; hosts' sizes come from a sum per host before it.
@@ -233,6 +233,7 @@ def extract(pages: DataFrame, *, page_id: str = "page_id", url: str = "url", sou
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from caselattice.llm import html_extract
+        common.held_by("html_extract")
 
         pack = zstandard.ZstdCompressor(level=3).compress
         for batch in batches:
@@ -241,6 +242,7 @@ def extract(pages: DataFrame, *, page_id: str = "page_id", url: str = "url", sou
 
     def strip(table: pa.Table) -> pa.Table:
         from caselattice.llm import html_extract
+        common.held_by("html_extract")
 
         unpack = zstandard.ZstdDecompressor().decompress
         parsed = [tuple(json.loads(unpack(p))) for p in table.column("packed").to_pylist()]
