@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from . import common
 
 #: Pieces whose encoding a worker keeps; the first ones met stay, which are the frequent ones. Bounds memory only.
-KEPT_PIECES = 500_000
+KEPT_PIECES = 400_000
 KEPT_PAIRS = 500_000
 
 

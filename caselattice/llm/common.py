@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,10 +24,18 @@ _HELD: dict[str, dict] = {}
 
 def held_by(operator: str) -> dict:
     """What a Python worker keeps between tasks of an operator. Workers serve one operator after another: what others
-    have left in this one is let go first, so that an executor holds the memory of one operator only."""
-    for other in [k for k in _HELD if k != operator]:
-        del _HELD[other]
-    return _HELD.setdefault(operator, {})
+    have left in this one is let go first and given back to the system, so that an executor holds the memory of one
+    operator only."""
+    if operator not in _HELD:
+        _HELD.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except (AttributeError, OSError):  # another C library than glibc
+            pass
+        _HELD[operator] = {}
+    return _HELD[operator]
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -153,15 +164,16 @@ def shingle_hashes(words: np.ndarray, begins: np.ndarray, size: int = 5) -> tupl
 def text_chunks(batches: Iterator, column: int, most: int = 1 << 19):
     """(record batch slice, its texts as bytes) of about ``most`` bytes each, a longer text by itself; null is empty."""
     for batch in batches:
-        texts = [t.encode() if t else b"" for t in batch.column(column).to_pylist()]
-        at = 0
-        while at < len(texts):
-            end, held = at, 0
-            while end < len(texts) and (end == at or held + len(texts[end]) <= most):
-                held += len(texts[end])
-                end += 1
-            yield batch.slice(at, end - at), texts[at:end]
-            at = end
+        start, texts, held = 0, [], 0
+        for row, value in enumerate(batch.column(column)):
+            text = (value.as_py() or "").encode()
+            if texts and held + len(text) > most:
+                yield batch.slice(start, len(texts)), texts
+                start, texts, held = row, [], 0
+            texts.append(text)
+            held += len(text)
+        if texts:
+            yield batch.slice(start, len(texts)), texts
 
 
 # --- components -------------------------------------------------------------------------------------

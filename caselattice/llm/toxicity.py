@@ -41,6 +41,11 @@ def _is_training(doc_id: str, modulus: int, held: int):
     return F.pmod(F.crc32(F.col(doc_id).cast("string")), F.lit(modulus)) != held
 
 
+def texts_in(column: pa.Array) -> Iterator[str | None]:
+    """A column's texts one by one, so that a batch's texts aren't all copied at once."""
+    return (value.as_py() for value in column)
+
+
 def words_of(text: str | None) -> list[str]:
     return _WORD.findall(text.lower()) if text else []
 
@@ -121,7 +126,7 @@ def _counts(rows: DataFrame, wanted: frozenset[str] | None) -> DataFrame:
             return out
 
         for batch in batches:
-            for text in batch.column(0).to_pylist():
+            for text in texts_in(batch.column(0)):
                 total.update(toxicity.features_of(set(toxicity.words_of(text)), only))
             if len(total) > 500_000:
                 yield drain()
@@ -280,7 +285,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str
 
         features = toxicity.Features(shared.value)
         for batch in batches:
-            found = [features.of_text(t) for t in batch.column(0).to_pylist()]
+            found = [features.of_text(t) for t in texts_in(batch.column(0))]
             yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.list_(pa.int32())), pa.array([f[1] for f in found], pa.int64()), pa.array([f[2] for f in found], pa.int64())], names=["found", "hits", "words"])
 
     sample = rows.select("text").mapInArrow(run, "found array<int>, hits long, words long").collect()
@@ -320,7 +325,7 @@ def score(docs: DataFrame, model: Model, *, text: str = "text", keep: tuple[str,
         own = toxicity.Model(*shared.value)
         features = toxicity.Features(own.names)
         for batch in batches:
-            scores = [own.score(features, t) for t in batch.column(len(kept)).to_pylist()]
+            scores = [own.score(features, t) for t in texts_in(batch.column(len(kept)))]
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(kept))), pa.array(scores, pa.float64())], names=[*kept, output])
 
     return inputs.mapInArrow(run, schema)
