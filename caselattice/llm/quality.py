@@ -13,10 +13,13 @@ from pyspark.sql import functions as F
 from . import common
 
 _SPACES = " \t\n\x0b\f\r"
-#: Measures with an upper fence and the least distance of that fence from the median.
-UPPER = {"symbol_ratio": 0.15, "dup_line_ratio": 0.6, "repeat_ratio": 0.3, "echo_ratio": 0.12, "upper_ratio": 0.3, "mark_ratio": 0.3, "mean_word_chars": 5.0}
+#: Measures with an upper fence and the least distance of that fence from the median. The first three and mark_ratio are 0
+#: in most documents, so that a group may have no width at all; the distances of the others bind only in uniform groups.
+UPPER = {"symbol_ratio": 0.15, "dup_line_ratio": 0.6, "repeat_ratio": 0.3, "echo_ratio": 0.05, "upper_ratio": 0.02, "mark_ratio": 0.3, "mean_word_chars": 1.0}
 #: Measures with a lower fence.
-LOWER = {"mean_word_chars": 2.5}
+LOWER = {"mean_word_chars": 1.0}
+#: A quartile's distance from the median, as that of a tenth percentile in a normal distribution.
+_QUARTILE = 1.9
 
 
 def _let(value: Column, body) -> Column:
@@ -93,11 +96,13 @@ def _ratios(counts: DataFrame) -> DataFrame:
 
 
 def thresholds(measures: DataFrame, *, sketch_k: int = 400, min_rows: int = 100, spread: float = 6.0) -> DataFrame:
-    """Fences per (lang, source): ``hi_*`` and ``lo_*`` around the median, ``spread`` times the lower half's width away.
+    """Fences per (lang, source): ``hi_*`` and ``lo_*`` around the median, ``spread`` times the group's width away.
 
     One quantile sketch per measure and group, merged upward to the language and to all rows; a group of fewer than
-    ``min_rows`` rows takes the fences of its language, a small language those of all. The width is median less tenth
-    percentile, so up to half of a group may be junk without moving its fences; each fence keeps a least distance.
+    ``min_rows`` rows takes the fences of its language, a small language those of all. The width is the larger one of
+    median less tenth percentile and of 1.9 times upper quartile less median (equal in a normal distribution), so a
+    measure whose median is 0 has one as soon as a quarter of the group has it, and up to a quarter of a group may be
+    junk without moving its fences. Each fence keeps a least distance; ``wide_*`` are the upper fences without it.
     """
     names = list(UPPER)
     by_group = measures.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n"), *[F.kll_sketch_agg_double(m, F.lit(sketch_k)).alias(m) for m in names])
@@ -109,23 +114,27 @@ def thresholds(measures: DataFrame, *, sketch_k: int = 400, min_rows: int = 100,
     def fences(sketches: DataFrame, prefix: str) -> DataFrame:
         out = [F.col("n").alias(f"{prefix}n")]
         for m in names:
-            mid, low = (F.kll_sketch_get_quantile_double(m, F.lit(q)) for q in (0.5, 0.1))
-            out.append(F.round(mid + F.greatest(spread * (mid - low), F.lit(UPPER[m])), 3).alias(f"{prefix}hi_{m}"))
+            mid, low, high = (F.kll_sketch_get_quantile_double(m, F.lit(q)) for q in (0.5, 0.1, 0.75))
+            width = spread * F.greatest(mid - low, _QUARTILE * (high - mid))
+            out.append(F.round(mid + F.greatest(width, F.lit(UPPER[m])), 3).alias(f"{prefix}hi_{m}"))
+            out.append(F.round(mid + width, 3).alias(f"{prefix}wide_{m}"))
             if m in LOWER:
-                out.append(F.round(mid - F.greatest(spread * (mid - low), F.lit(LOWER[m])), 3).alias(f"{prefix}lo_{m}"))
+                out.append(F.round(mid - F.greatest(width, F.lit(LOWER[m])), 3).alias(f"{prefix}lo_{m}"))
         return sketches.select(*[c for c in ("lang", "source") if c in sketches.columns], *out)
 
     joined = fences(by_group, "g_").join(fences(by_lang, "l_"), "lang").join(fences(of_all, "a_"))
     pick = lambda c: F.when(F.col("g_n") >= min_rows, F.col(f"g_{c}")).when(F.col("l_n") >= min_rows, F.col(f"l_{c}")).otherwise(F.col(f"a_{c}"))
-    return joined.select("lang", "source", *[pick(f"hi_{m}").alias(f"hi_{m}") for m in UPPER], *[pick(f"lo_{m}").alias(f"lo_{m}") for m in LOWER])
+    return joined.select("lang", "source", *[pick(f"{k}_{m}").alias(f"{k}_{m}") for k in ("hi", "wide") for m in UPPER], *[pick(f"lo_{m}").alias(f"lo_{m}") for m in LOWER])
 
 
-def quality_filter(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", min_words: int = 20, repeat_percent: int = 30, min_rows: int = 100) -> DataFrame:
+def quality_filter(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", min_words: int = 20, repeat_percent: int = 30, min_rows: int = 100, errors: float = 3.0) -> DataFrame:
     """Verdict per document: the counts, ``base_failed``, the rules that failed, and ``kept``.
 
     base_failed: fewer than ``min_words`` words, or over ``repeat_percent`` % of them in repeated windows. Rows that
-    pass it give the sketches; kept is false for base failures and outside the group's fences. An empty table gives
-    an empty result.
+    pass it give the sketches; kept is false for base failures and outside the group's fences. A short text strays
+    farther by chance: a fence from a group's width is moved out by ``errors`` standard errors of a measure of as many
+    words (or letters), taken as Poisson counts, and as words whose lengths vary by half their mean. An empty table
+    gives an empty result.
     """
     named = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce("lang", F.lit("")).alias("lang"), F.coalesce("source", F.lit("")).alias("source"), F.col(text).alias("text"))
     counts = common.stash(text_measures(named), "quality-counts")
@@ -133,7 +142,15 @@ def quality_filter(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id
     measured = _ratios(counts).withColumn("base_failed", base)
     limits = common.stash(thresholds(measured.where(~F.col("base_failed")), min_rows=min_rows), "quality-limits")
     judged = measured.join(limits, ["lang", "source"], "left")
-    broken = [F.when(F.col(m) > F.col(f"hi_{m}"), F.lit(f"high_{m}")) for m in UPPER] + [F.when(F.col(m) < F.col(f"lo_{m}"), F.lit(f"low_{m}")) for m in LOWER]
+
+    def error(m: str, fence: Column) -> Column:
+        if m == "mean_word_chars":
+            return errors * fence / (2 * F.sqrt(F.greatest("n_words", F.lit(1))))
+        return errors * F.sqrt(fence / F.greatest("word_chars" if m == "upper_ratio" else "n_words", F.lit(1)))
+
+    above = lambda m: F.col(m) > F.greatest(F.col(f"hi_{m}"), F.col(f"wide_{m}") + error(m, F.col(f"wide_{m}")))
+    below = lambda m: F.col(m) < F.col(f"lo_{m}") - error(m, F.col(f"lo_{m}"))
+    broken = [F.when(above(m), F.lit(f"high_{m}")) for m in UPPER] + [F.when(below(m), F.lit(f"low_{m}")) for m in LOWER]
     judged = judged.withColumn("failed_rules", F.array_compact(F.array(*broken)))
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",

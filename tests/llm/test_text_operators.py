@@ -121,6 +121,20 @@ def test_quality_counts(spark):
     assert quality.quality_filter(lost, min_rows=5).where("kept").count() == 30
 
 
+def test_quality_fences_follow_the_group(spark):
+    """A source whose texts have symbols keeps them, though its median is 0; an outlier of a narrow one goes."""
+    rnd = random.Random(37)
+    body = lambda: sentence(rnd, 100, 3000)
+    code = [body() + (" a|b" * rnd.randrange(40, 61) if i % 5 < 2 else "") for i in range(150)]
+    prose = [" ".join("A" + w if k % 50 == 0 else w for k, w in enumerate(body().split())) for _ in range(150)]
+    shouted = " ".join(w.upper() if k % 2 else w for k, w in enumerate(body().split()))
+    texts = [(t, "code") for t in [*code, body() + " ||||||" * 3000]] + [(t, "prose") for t in [*prose, shouted]]
+    docs = spark.createDataFrame([(i, t, "en", s) for i, (t, s) in enumerate(texts)], "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: list(r.failed_rules) for r in quality.quality_filter(docs, repeat_percent=100).collect()}
+    assert all(not got[i] for i in range(150)) and "high_symbol_ratio" in got[150]
+    assert all(not got[i] for i in range(151, 301)) and got[301] == ["high_upper_ratio"]
+
+
 def brute_lines(texts, sources, min_sites, min_words=3):
     sites = collections.defaultdict(set)
     for t, s in zip(texts, sources):
