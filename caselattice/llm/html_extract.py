@@ -6,11 +6,13 @@ article such runs are boilerplate; inside one they are so only on half of the ho
 one another. Covered runs go, unique runs stay. Pages that repeat one another as a whole are copies, not boilerplate.
 
 A null or empty page has empty text; broken markup never fails. Equal pages get equal text. Extra columns are not read.
-A host's pages are dealt by a hash into groups of bounded size, so a host with a third of all pages is many groups.
+A host's pages are dealt by a hash of their blocks into groups of about ``group_bytes`` of HTML, so a host with a third
+of all pages is many groups, and equal pages meet in one. Windows of tokens are counted over all groups of the host.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html
 import json
 import math
@@ -176,8 +178,40 @@ def repeated_windows(tokens: np.ndarray, page: np.ndarray, identity: np.ndarray,
     return spread[rank], fits
 
 
-def strip_host(pages: list[tuple[int, list[str]]], *, run_tokens: int, min_pages: int, article_share: float, article_pages: int) -> list[str]:
-    """The text of each page of a group of one host's pages, given (zone, blocks)."""
+def window_hashes(words: list[str], tokens: np.ndarray, run: int) -> np.ndarray:
+    """A 64-bit hash of the ``run`` tokens from each position, the same in all groups; ``words`` are in order of their number."""
+    own = np.array([int.from_bytes(hashlib.blake2b(w.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little") for w in words], np.uint64)[tokens]
+    n = max(len(tokens) - run + 1, 0)
+    rolled = np.zeros(n, np.uint64)
+    for k in range(run):
+        rolled = common.mix(rolled * np.uint64(3) + own[k : k + n] + np.uint64(k + 1))
+    return rolled
+
+
+def group_windows(pages: list[tuple[int, list[str]]], run_tokens: int) -> tuple[int, np.ndarray, np.ndarray]:
+    """The distinct pages of a group; the hashes of its windows, ascending; and the distinct pages that have each."""
+    distinct = list({" ".join(blocks): blocks for _, blocks in pages}.values())
+    ids: dict[str, int] = {}
+    own = [[ids.setdefault(w, len(ids)) for b in blocks for w in b.split(" ")] for blocks in distinct]
+    tokens = np.array([t for o in own for t in o], np.int64)
+    hashes = window_hashes(list(ids), tokens, run_tokens)
+    page = np.repeat(np.arange(len(own)), [len(o) for o in own])
+    fits = page[: len(hashes)] == page[run_tokens - 1 :] if len(hashes) else np.zeros(0, bool)
+    hashes, page = hashes[fits], page[: len(fits)][fits]
+    order = np.lexsort((page, hashes))
+    hashes, page = hashes[order], page[order]
+    again = np.zeros(len(hashes), bool)
+    again[1:] = (hashes[1:] == hashes[:-1]) & (page[1:] == page[:-1])
+    found, counts = np.unique(hashes[~again], return_counts=True)
+    return len(distinct), found, counts.astype(np.int64)
+
+
+def strip_host(pages: list[tuple[int, list[str]]], *, run_tokens: int, min_pages: int, article_share: float, article_pages: int, host_pages: int | None = None, host_windows: tuple[np.ndarray, np.ndarray] | None = None) -> list[str]:
+    """The text of each page of a group of one host's pages, given (zone, blocks).
+
+    Of a host of several groups ``host_pages`` are its distinct pages and ``host_windows`` the windows (hashes, ascending,
+    and distinct pages) that ``min_pages`` or more of them have; other windows are rarer than any bar.
+    """
     ids: dict[str, int] = {}
     tokens: list[int] = []
     lengths, words_of = [], []
@@ -190,12 +224,17 @@ def strip_host(pages: list[tuple[int, list[str]]], *, run_tokens: int, min_pages
     texts = [" ".join(blocks) for _, blocks in pages]
     kinds: dict[str, int] = {}
     identity = np.array([kinds.setdefault(t, len(kinds)) for t in texts], np.int64)
-    if len(kinds) < 2 or not tokens:
+    n_kinds = len(kinds) if host_pages is None else host_pages
+    if n_kinds < 2 or not tokens:
         return texts
     page = np.repeat(np.arange(len(pages)), lengths)
     spread, fits = repeated_windows(np.array(tokens, np.int64), page, identity, run_tokens)
+    if host_windows is not None and len(host_windows[0]):
+        hashes = window_hashes(list(ids), np.array(tokens, np.int64), run_tokens)
+        place = np.minimum(np.searchsorted(host_windows[0], hashes), len(host_windows[0]) - 1)
+        spread[: len(hashes)] = np.where(host_windows[0][place] == hashes, host_windows[1][place], spread[: len(hashes)])
     inside = np.array([z > OTHER for z, _ in pages])
-    bar = np.where(inside, max(article_pages, math.ceil(article_share * len(kinds))), min_pages)
+    bar = np.where(inside, max(article_pages, math.ceil(article_share * n_kinds)), min_pages)
     hit = fits & (spread >= bar[page])
     if not hit.any():
         return texts
@@ -223,7 +262,8 @@ def strip_host(pages: list[tuple[int, list[str]]], *, run_tokens: int, min_pages
 def extract(pages: DataFrame, *, page_id: str = "page_id", url: str = "url", source: str = "html", run_tokens: int = 8, min_pages: int = 3, article_share: float = 0.5, article_pages: int = 5, group_bytes: int = 4 << 20) -> DataFrame:
     """(page_id, url, text, n_chars) of every page.
 
-    One shuffle, of the compressed blocks, by host and group; hosts' sizes come from a sum per host before it.
+    A shuffle of the compressed blocks by host and group; hosts' sizes come from a sum per host before it. Groups of a
+    host of several also send each window once, by host and hash, and get back those that enough pages of the host have.
     """
     common.ship_package(pages.sparkSession)
     host = F.coalesce(F.lower(F.regexp_extract(F.col(url).cast("string"), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
@@ -240,15 +280,54 @@ def extract(pages: DataFrame, *, page_id: str = "page_id", url: str = "url", sou
             packed = [pack(json.dumps(html_extract.chosen_blocks(html_extract.parse_page(h)), ensure_ascii=False).encode()) for h in batch.column(3).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(packed, pa.binary())], names=["page_id", "url", "host", "packed"])
 
-    def strip(table: pa.Table) -> pa.Table:
+    def unpacked(table: pa.Table) -> list[tuple[int, list[str]]]:
+        unpack = zstandard.ZstdDecompressor().decompress
+        once: dict[bytes, tuple[int, list[str]]] = {}
+        return [once[p] if p in once else once.setdefault(p, tuple(json.loads(unpack(p)))) for p in table.column("packed").to_pylist()]
+
+    def count(table: pa.Table) -> pa.Table:
         from caselattice.llm import html_extract
         common.held_by("html_extract")
 
-        unpack = zstandard.ZstdDecompressor().decompress
-        parsed = [tuple(json.loads(unpack(p))) for p in table.column("packed").to_pylist()]
-        texts = html_extract.strip_host(parsed, run_tokens=run_tokens, min_pages=min_pages, article_share=article_share, article_pages=article_pages)
+        groups = table.column("groups")[0].as_py()
+        if groups is None:
+            return pa.table([[]] * 6, schema=counted)
+        n, hashes, counts = html_extract.group_windows(unpacked(table), run_tokens)
+        # a bucket takes the windows of about four groups; each group sends a row to each
+        buckets = -(-groups // 4)
+        bucket = (hashes % np.uint64(buckets)).astype(np.int64)
+        rows = [(table.column("host")[0].as_py(), table.column("part")[0].as_py(), b, n, hashes[bucket == b].tobytes(), counts[bucket == b].astype(np.uint32).tobytes()) for b in range(buckets)]
+        return pa.table([list(c) for c in zip(*rows, strict=True)], schema=counted)
+
+    def merge(table: pa.Table) -> pa.Table:
+        common.held_by("html_extract")
+        parts = [(np.frombuffer(h, np.uint64), np.frombuffer(c, np.uint32)) for h, c in zip(table.column("hashes").to_pylist(), table.column("counts").to_pylist(), strict=True)]
+        found, at = np.unique(np.concatenate([h for h, _ in parts]), return_inverse=True)
+        total = np.bincount(at, np.concatenate([c for _, c in parts]), minlength=len(found)).astype(np.uint32)
+        pages_of_host = sum(table.column("pages").to_pylist())
+        rows, start = [], 0
+        for part, (h, _) in zip(table.column("part").to_pylist(), parts, strict=True):
+            own = total[at[start : start + len(h)]]
+            start += len(h)
+            rows.append((table.column("host")[0].as_py(), part, table.column("bucket")[0].as_py(), pages_of_host, h[own >= min_pages].tobytes(), own[own >= min_pages].tobytes()))
+        return pa.table([list(c) for c in zip(*rows, strict=True)], schema=counted)
+
+    def strip(table: pa.Table, windows: pa.Table) -> pa.Table:
+        from caselattice.llm import html_extract
+        common.held_by("html_extract")
+
+        of_host = {}
+        if len(windows):
+            hashes, counts = (np.frombuffer(b"".join(windows.column(c).to_pylist()), t) for c, t in (("hashes", np.uint64), ("counts", np.uint32)))
+            order = np.argsort(hashes)
+            of_host = {"host_pages": windows.column("pages")[0].as_py(), "host_windows": (hashes[order], counts[order])}
+        parsed = unpacked(table)
+        texts = html_extract.strip_host(parsed, run_tokens=run_tokens, min_pages=min_pages, article_share=article_share, article_pages=article_pages, **of_host)
         return pa.table({"page_id": table.column("page_id"), "url": table.column("url"), "text": pa.array(texts, pa.string()), "n_chars": pa.array([len(t) for t in texts], pa.int64())})
 
+    counted = pa.schema([("host", pa.string()), ("part", pa.int64()), ("bucket", pa.int64()), ("pages", pa.int64()), ("hashes", pa.binary()), ("counts", pa.binary())])
+    counted_ddl = "host string, part long, bucket long, pages long, hashes binary, counts binary"
     parsed = named.mapInArrow(parse, "page_id long, url string, host string, packed binary")
-    dealt = parsed.join(large, "host", "left").withColumn("part", F.when(F.col("groups").isNull(), F.lit(0).cast("long")).otherwise(F.pmod(F.xxhash64("page_id", "url"), F.col("groups"))))
-    return dealt.groupBy("host", "part").applyInArrow(strip, "page_id long, url string, text string, n_chars long")
+    dealt = parsed.join(large, "host", "left").withColumn("part", F.when(F.col("groups").isNull(), F.lit(0).cast("long")).otherwise(F.pmod(F.xxhash64("packed"), F.col("groups"))))
+    windows = dealt.groupBy("host", "part").applyInArrow(count, counted_ddl).groupBy("host", "bucket").applyInArrow(merge, counted_ddl)
+    return dealt.groupBy("host", "part").cogroup(windows.groupBy("host", "part")).applyInArrow(strip, "page_id long, url string, text string, n_chars long")

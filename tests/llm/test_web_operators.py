@@ -69,6 +69,23 @@ def test_hosts_boilerplate_goes_and_articles_stay(spark):
     assert html_extract.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_a_large_host_is_counted_as_a_whole(spark):
+    """Three pages that repeat a notice meet in no group, or not all in one; the host's size does not matter."""
+    rnd = random.Random(8)
+    sentence = lambda n: " ".join(f"w{rnd.randrange(5000)}" for _ in range(n))
+    bodies = [sentence(60) for _ in range(120)]
+    rare, notice, twice = sentence(20), sentence(15), sentence(12)
+    pages = [f"<div>{b}</div>" + f"<div>{rare}</div>" * (i % 40 == 0) + f"<div>{twice}</div>" * (i in (1, 90)) for i, b in enumerate(bodies)]
+    articles = [f"<article><p>{b}</p>" + f"<p>{notice}</p>" * (i % 4 > 0) + "</article>" for i, b in enumerate(bodies)]
+    rows = [(i, f"https://big.example/{i}", h) for i, h in enumerate(pages)] + [(1000 + i, f"https://art.example/{i}", h) for i, h in enumerate(articles)] + [(2000 + i, "https://big.example/", pages[7]) for i in range(5)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    whole, parted = ({r.page_id: r.text for r in html_extract.extract(frame, group_bytes=b).collect()} for b in (4 << 20, 2500))
+    assert whole == parted and len(parted) == len(rows)
+    for i, b in enumerate(bodies):
+        assert parted[i] == (f"{b} {twice}" if i in (1, 90) else b) and parted[1000 + i] == b
+    assert all(parted[2000 + i] == bodies[7] for i in range(5))
+
+
 def test_repeated_windows_equal_brute_force():
     import numpy as np
 
