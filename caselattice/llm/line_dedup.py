@@ -45,11 +45,11 @@ def spread_lines(lines: DataFrame, *, min_sites: int, log2_registers: int = 10,
     return estimates.where(F.col("sites") > high).select("h").union(exact.where(F.col("sites") >= min_sites).select("h"))
 
 
-def remove_boilerplate(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", site: str = "source", min_sites: int = 10, min_words: int = 3) -> DataFrame:
+def remove_boilerplate(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", site: str = "source", min_sites: int = 10, min_words: int = 3, copy_percent: int = 50) -> DataFrame:
     """The rows of ``docs`` without their boilerplate lines; adds n_spread, n_removed and is_copy.
 
-    A document more than half of whose words stand in spread lines is a copied document, not one with boilerplate: it
-    keeps its text (is_copy) for the near-duplicate join to settle. Row and column order of other columns stay; columns
+    A document more than ``copy_percent`` % of whose words stand in spread lines is a copied document, not one with
+    boilerplate: it keeps its text (is_copy) for the near-duplicate join to settle. Row and column order of other columns stay; columns
     named like the added ones are replaced.
     """
     added = ("n_spread", "n_removed", "is_copy")
@@ -71,7 +71,7 @@ def remove_boilerplate(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "
         F.coalesce(F.size(hit), F.lit(0)).cast("long").alias("n_spread"),
         F.aggregate(hit, F.lit(0), lambda total, p: total + p["words"]).alias("__hit_words"),
         F.aggregate("__parts", F.lit(0), lambda total, p: total + p["words"]).alias("__all_words"),
-    ).withColumn("is_copy", F.coalesce(2 * F.col("__hit_words") > F.col("__all_words"), F.lit(False)))
+    ).withColumn("is_copy", F.coalesce(100 * F.col("__hit_words") > copy_percent * F.col("__all_words"), F.lit(False)))
     changes = (F.col("n_spread") > 0) & ~F.col("is_copy") & F.col("__parts").isNotNull()
     cleaned = F.array_join(F.transform(F.filter("__parts", lambda p: ~(p["spread"] & (p["words"] >= min_words))), lambda p: p["line"]), "\n")
     return measured.select(

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from caselattice.llm import bpe, common, decontaminate, line_dedup, ngram_join, toxicity
 
 TOXIC_FROM = 0.3
+#: A document with fewer own words than the near-duplicate threshold leaves is a copy, which that stage settles.
+COPY_PERCENT = 80
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,8 +25,11 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_boilerplate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the lines that ten or more sites share; n_chars follows the text."""
-    cleaned = line_dedup.remove_boilerplate(docs)
+    """All documents, without the lines that ten or more sites share; n_chars follows the text.
+
+    Only documents with over ``COPY_PERCENT`` % of their words in such lines keep them.
+    """
+    cleaned = line_dedup.remove_boilerplate(docs, copy_percent=COPY_PERCENT)
     if "n_chars" in docs.columns:
         cleaned = cleaned.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
     return cleaned.select(*docs.columns)

@@ -60,6 +60,16 @@ def test_stages_follow_one_another(spark, planted):
     assert {r.doc_id for r in free.collect()} == {i for i in order if len(shingles(texts[i]) & shingles(item)) < 0.8 * len(shingles(item))}
 
 
+def test_shared_passages_go_from_short_documents(spark):
+    """A document of 40 % own words is cleaned; one that is nearly all shared lines is left to the near-duplicate stage."""
+    rnd = random.Random(41)
+    passage = sentence(rnd, 60, 3000)
+    own = [sentence(rnd, 40, 3000) for _ in range(12)]
+    rows = [(i, f"{passage}\n{t}", "en", f"src{i}", 1) for i, t in enumerate(own)] + [(20, f"{passage}\nfew own words", "en", "src0", 1)]
+    got = {r.doc_id: r for r in corpus_pipeline.drop_boilerplate_lines(spark, spark.createDataFrame(rows, SCHEMA), "").collect()}
+    assert all(got[i].text == t and got[i].n_chars == len(t) for i, t in enumerate(own)) and got[20].text == rows[12][1]
+
+
 def test_repeated_rows_and_empty_tables(spark, planted, tmp_path):
     folder, _, _ = planted
     docs = spark.read.parquet(f"{folder}/documents.parquet")
