@@ -36,11 +36,14 @@ def drop_boilerplate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group joined by links of similarity 0.8 or more the document with the least identifier."""
-    classes = ngram_join.similarity_classes(docs.select("doc_id", "text"))
-    kept = classes.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("__id")).distinct()
-    met = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__id")))
-    # rows repeated under one identifier are one document
+    """Of each group joined by links of similarity 0.8 or more the document with the least identifier, null last.
+
+    Rows equal in identifier and text are one document; other rows are documents of their own, whatever their identifiers.
+    """
+    keyed = docs.withColumn("__key", F.xxhash64("doc_id", "text"))
+    classes = ngram_join.similarity_classes(keyed.select("__key", "text"), doc_id="__key").select(F.col("doc_id").alias("__key"), "class_id")
+    ranked = keyed.select("__key", "doc_id").join(classes, "__key").groupBy("class_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "__key"))["__key"].alias("__id"))
+    met = keyed.join(ranked.select("__id"), F.col("__key") == F.col("__id"))
     first = met.withColumn("__n", F.row_number().over(Window.partitionBy("__id").orderBy("text")))
     return first.where("__n = 1").select(*docs.columns)
 

@@ -70,6 +70,16 @@ def test_shared_passages_go_from_short_documents(spark):
     assert all(got[i].text == t and got[i].n_chars == len(t) for i, t in enumerate(own)) and got[20].text == rows[12][1]
 
 
+def test_rows_that_share_or_lack_an_identifier(spark):
+    """Distinct texts under one identifier, or under none, are documents; copies go, those without identifier first."""
+    rnd = random.Random(43)
+    a, b, c, d = (sentence(rnd, 80, 3000) for _ in range(4))
+    pairs = [(1, a), (1, b), (1, a), (2, b), (None, c), (None, d), (None, a), (7, edited(rnd, d, 1)), (None, c), (8, None), (9, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in pairs], SCHEMA)
+    got = sorted(((r.doc_id, r.text) for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()), key=str)
+    assert got == sorted([(1, a), (1, b), (None, c), pairs[7], (8, None), (9, None)], key=str)
+
+
 def test_repeated_rows_and_empty_tables(spark, planted, tmp_path):
     folder, _, _ = planted
     docs = spark.read.parquet(f"{folder}/documents.parquet")
