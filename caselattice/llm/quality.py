@@ -14,7 +14,8 @@ from . import common
 
 _SPACES = " \t\n\x0b\f\r"
 #: Measures with an upper fence and the least distance of that fence from the median. The first three and mark_ratio are 0
-#: in most documents, so that a group may have no width at all; the distances of the others bind only in uniform groups.
+#: in most documents, so that a group may have no width at all; the distances of upper_ratio and mean_word_chars bind only in uniform groups,
+#: that of echo_ratio (one word of a shortest text) wherever six widths are less and a text is long.
 UPPER = {"symbol_ratio": 0.15, "dup_line_ratio": 0.6, "repeat_ratio": 0.3, "echo_ratio": 0.05, "upper_ratio": 0.02, "mark_ratio": 0.3, "mean_word_chars": 1.0}
 #: Measures with a lower fence.
 LOWER = {"mean_word_chars": 1.0}
