@@ -2,23 +2,35 @@
 
 DataFrame functions only. Words are runs of ``[^\\x20\\x09-\\x0D]``. Null or empty texts have no words and fail the
 base rule; a null language or source counts as the group of the empty string. Equal rows get equal verdicts. Extra
-input columns are left out unless named in ``keep``.
+input columns are left out unless named in ``keep``. Sketches are counts by logarithmic buckets: they merge by sums, are
+within half a per cent of the value at every quantile, and give the same fences in every run.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common
 
 _SPACES = " \t\n\x0b\f\r"
-#: Measures with an upper fence and the least distance of that fence from the median. The first three and mark_ratio are 0
-#: in most documents, so that a group may have no width at all; the distances of upper_ratio and mean_word_chars bind only in uniform groups,
-#: that of echo_ratio (one word of a shortest text) wherever six widths are less and a text is long.
-UPPER = {"symbol_ratio": 0.15, "dup_line_ratio": 0.6, "repeat_ratio": 0.3, "echo_ratio": 0.05, "upper_ratio": 0.02, "mark_ratio": 0.3, "mean_word_chars": 1.0}
-#: Measures with a lower fence.
-LOWER = {"mean_word_chars": 1.0}
+#: Ratios with an upper fence: what is counted, of how many, and how much of the former one event adds. A repeated window
+#: makes 16 repeated words: its own and those of the first one.
+RATIOS = {
+    "symbol_ratio": ("n_symbols", "n_words", 1),
+    "dup_line_ratio": ("n_dup_lines", "n_lines", 1),
+    "repeat_ratio": ("n_repeat_words", "n_words", 16),
+    "echo_ratio": ("n_echoes", "n_words", 1),
+    "upper_ratio": ("n_upper", "word_chars", 1),
+    "mark_ratio": ("n_marks", "n_words", 1),
+}
+#: The one measure with fences on both sides.
+MEAN = "mean_word_chars"
+MEASURES = (*RATIOS, MEAN)
+#: Growth of the sketches' buckets, and the bucket of zeros.
+GROWTH, ZEROS = 1.01, -(1 << 20)
 #: A quartile's distance from the median, as that of a tenth percentile in a normal distribution.
 _QUARTILE = 1.9
 
@@ -82,79 +94,68 @@ def text_measures(docs: DataFrame, *, text: str = "text", keep: tuple[str, ...]
 
 
 def _ratios(counts: DataFrame) -> DataFrame:
-    words = F.greatest(F.col("n_words"), F.lit(1))
-    return counts.withColumns(
-        {
-            "symbol_ratio": F.col("n_symbols") / words,
-            "dup_line_ratio": F.col("n_dup_lines") / F.greatest(F.col("n_lines"), F.lit(1)),
-            "repeat_ratio": F.col("n_repeat_words") / words,
-            "echo_ratio": F.col("n_echoes") / words,
-            "upper_ratio": F.col("n_upper") / F.greatest(F.col("word_chars"), F.lit(1)),
-            "mark_ratio": F.col("n_marks") / words,
-            "mean_word_chars": F.col("word_chars") / words,
-        }
-    )
+    of = lambda c: F.greatest(F.col(c), F.lit(1))
+    return counts.withColumns({m: F.col(c) / of(n) for m, (c, n, _) in RATIOS.items()} | {MEAN: F.col("word_chars") / of("n_words")})
+
+
+def sketches(measures: DataFrame) -> DataFrame:
+    """(lang, source, measure, bucket, n): the sketch of each measure in each group, summed before its shuffle."""
+    bucket = lambda m: F.when(F.col(m) > 0, F.ceil(F.ln(m) / math.log(GROWTH)).cast("int")).otherwise(F.lit(ZEROS))
+    cells = F.explode(F.array(*[F.struct(F.lit(m).alias("measure"), bucket(m).alias("bucket")) for m in MEASURES]))
+    return measures.select("lang", "source", cells.alias("cell")).groupBy("lang", "source", "cell.measure", "cell.bucket").agg(F.count(F.lit(1)).alias("n"))
 
 
-def thresholds(measures: DataFrame, *, sketch_k: int = 400, min_rows: int = 100, spread: float = 6.0) -> DataFrame:
-    """Fences per (lang, source): ``hi_*`` and ``lo_*`` around the median, ``spread`` times the group's width away.
+def quantiles(cells: DataFrame, keys: list[str], prefix: str, at: tuple[int, ...] = (10, 50, 75)) -> DataFrame:
+    """(keys, measure, n, one column a percentile) of sketches merged to ``keys``. A window holds the buckets of one sketch."""
+    merged = cells.groupBy(*keys, "measure", "bucket").agg(F.sum("n").alias("n"))
+    whole = Window.partitionBy(*keys, "measure")
+    ranked = merged.withColumn("below", F.sum("n").over(whole.orderBy("bucket"))).withColumn("all", F.sum("n").over(whole))
+    value = F.when(F.col("bucket") == ZEROS, 0.0).otherwise(F.pow(F.lit(GROWTH), F.col("bucket")))
+    found = [F.min(F.when(100 * F.col("below") >= q * F.col("all"), value)).alias(f"{prefix}q{k}") for k, q in enumerate(at)]
+    return ranked.groupBy(*keys, "measure").agg(F.max("all").alias(f"{prefix}n"), *found)
 
-    One quantile sketch per measure and group, merged upward to the language and to all rows; a group of fewer than
-    ``min_rows`` rows takes the fences of its language, a small language those of all. The width is the larger one of
-    median less tenth percentile and of 1.9 times upper quartile less median (equal in a normal distribution), so a
-    measure whose median is 0 has one as soon as a quarter of the group has it, and up to a quarter of a group may be
-    junk without moving its fences. Each fence keeps a least distance; ``wide_*`` are the upper fences without it.
+
+def thresholds(measures: DataFrame, *, prior_rows: float = 100.0, spread: float = 6.0) -> DataFrame:
+    """(lang, source, hi_* of every measure, lo_* of the mean): fences ``spread`` widths of the group from its median.
+
+    One sketch per measure and group, merged upward to the language and to all rows. A group's quantiles are drawn to
+    those of its language, and these to those of all, as if ``prior_rows`` rows had them, so a small group has nearly
+    its parent's fences and a large one its own. The width is the larger one of median less tenth percentile and of 1.9
+    times upper quartile less median (equal in a normal distribution): up to a quarter of a group may be junk without
+    moving its fences. No fence has a fixed part. Without rows there are no fences.
     """
-    names = list(UPPER)
-    by_group = measures.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n"), *[F.kll_sketch_agg_double(m, F.lit(sketch_k)).alias(m) for m in names])
-    merged = [F.sum("n").alias("n"), *[F.kll_merge_agg_double(m, F.lit(sketch_k)).alias(m) for m in names]]
-    by_group = common.stash(by_group, "quality-sketches")
-    by_lang = by_group.groupBy("lang").agg(*merged)
-    of_all = by_group.agg(*merged)
-
-    def fences(sketches: DataFrame, prefix: str) -> DataFrame:
-        out = [F.col("n").alias(f"{prefix}n")]
-        for m in names:
-            mid, low, high = (F.kll_sketch_get_quantile_double(m, F.lit(q)) for q in (0.5, 0.1, 0.75))
-            width = spread * F.greatest(mid - low, _QUARTILE * (high - mid))
-            out.append(F.round(mid + F.greatest(width, F.lit(UPPER[m])), 3).alias(f"{prefix}hi_{m}"))
-            out.append(F.round(mid + width, 3).alias(f"{prefix}wide_{m}"))
-            if m in LOWER:
-                out.append(F.round(mid - F.greatest(width, F.lit(LOWER[m])), 3).alias(f"{prefix}lo_{m}"))
-        return sketches.select(*[c for c in ("lang", "source") if c in sketches.columns], *out)
-
-    joined = fences(by_group, "g_").join(fences(by_lang, "l_"), "lang").join(fences(of_all, "a_"))
-    pick = lambda c: F.when(F.col("g_n") >= min_rows, F.col(f"g_{c}")).when(F.col("l_n") >= min_rows, F.col(f"l_{c}")).otherwise(F.col(f"a_{c}"))
-    return joined.select("lang", "source", *[pick(f"{k}_{m}").alias(f"{k}_{m}") for k in ("hi", "wide") for m in UPPER], *[pick(f"lo_{m}").alias(f"lo_{m}") for m in LOWER])
-
-
-def quality_filter(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", min_words: int = 20, repeat_percent: int = 30, min_rows: int = 100, errors: float = 3.0) -> DataFrame:
+    cells = common.stash(sketches(measures), "quality-sketches")
+    own, lang, top = quantiles(cells, ["lang", "source"], "g_"), quantiles(cells, ["lang"], "l_"), quantiles(cells, [], "a_")
+    joined = own.join(lang, ["lang", "measure"]).join(top, "measure")
+    drawn = lambda n, near, far: (F.col(n) * near + prior_rows * far) / (F.col(n) + prior_rows)
+    low, mid, high = (drawn("g_n", F.col(f"g_q{k}"), drawn("l_n", F.col(f"l_q{k}"), F.col(f"a_q{k}"))) for k in range(3))
+    width = spread * F.greatest(mid - low, _QUARTILE * (high - mid))
+    fenced = joined.select("lang", "source", "measure", (mid + width).alias("hi"), (mid - width).alias("lo"))
+    of = lambda m, c: F.max(F.when(F.col("measure") == m, F.col(c))).alias(f"{c}_{m}")
+    return fenced.groupBy("lang", "source").agg(*[of(m, "hi") for m in MEASURES], of(MEAN, "lo"))
+
+
+def quality_filter(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", min_words: int = 20, repeat_percent: int = 30, prior_rows: float = 100.0, spread: float = 6.0, errors: float = 3.0) -> DataFrame:
     """Verdict per document: the counts, ``base_failed``, the rules that failed, and ``kept``.
 
     base_failed: fewer than ``min_words`` words, or over ``repeat_percent`` % of them in repeated windows. Rows that
-    pass it give the sketches; kept is false for base failures and outside the group's fences. A short text strays
-    farther by chance: a fence from a group's width is moved out by ``errors`` standard errors of a measure of as many
-    words (or letters), taken as Poisson counts, and as words whose lengths vary by half their mean. An empty table
-    gives an empty result.
+    pass it give the sketches; kept is false for base failures and outside the group's fences. A count strays by
+    chance, the more so in a short text: a ratio fails if it is more than ``errors`` standard errors above its fence,
+    the error of a count being its square root, and of a mean length that of words whose lengths vary by half their
+    mean. An empty table, or one where every row fails the base rule, gives no fences and is a defined result.
     """
     named = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce("lang", F.lit("")).alias("lang"), F.coalesce("source", F.lit("")).alias("source"), F.col(text).alias("text"))
     counts = common.stash(text_measures(named), "quality-counts")
     base = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > repeat_percent * F.col("n_words"))
     measured = _ratios(counts).withColumn("base_failed", base)
-    limits = common.stash(thresholds(measured.where(~F.col("base_failed")), min_rows=min_rows), "quality-limits")
+    limits = common.stash(thresholds(measured.where(~F.col("base_failed")), prior_rows=prior_rows, spread=spread), "quality-limits")
     judged = measured.join(limits, ["lang", "source"], "left")
-
-    def error(m: str, fence: Column) -> Column:
-        if m == "mean_word_chars":
-            return errors * fence / (2 * F.sqrt(F.greatest("n_words", F.lit(1))))
-        return errors * F.sqrt(fence / F.greatest("word_chars" if m == "upper_ratio" else "n_words", F.lit(1)))
-
-    above = lambda m: F.col(m) > F.greatest(F.col(f"hi_{m}"), F.col(f"wide_{m}") + error(m, F.col(f"wide_{m}")))
-    below = lambda m: F.col(m) < F.col(f"lo_{m}") - error(m, F.col(f"lo_{m}"))
-    broken = [F.when(above(m), F.lit(f"high_{m}")) for m in UPPER] + [F.when(below(m), F.lit(f"low_{m}")) for m in LOWER]
-    judged = judged.withColumn("failed_rules", F.array_compact(F.array(*broken)))
+    rules = [F.when(F.col(m) - errors * F.sqrt(F.col(c) * unit) / F.greatest(F.col(n), F.lit(1)) > F.col(f"hi_{m}"), F.lit(f"high_{m}")) for m, (c, n, unit) in RATIOS.items()]
+    strays = errors * F.col(MEAN) / (2 * F.sqrt(F.greatest("n_words", F.lit(1))))
+    rules += [F.when(F.col(MEAN) - strays > F.col(f"hi_{MEAN}"), F.lit(f"high_{MEAN}")), F.when(F.col(MEAN) + strays < F.col(f"lo_{MEAN}"), F.lit(f"low_{MEAN}"))]
+    judged = judged.withColumn("failed_rules", F.array_compact(F.array(*rules)))
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         (~F.col("base_failed") & (F.size("failed_rules") == 0)).alias("kept"),
-        "failed_rules", "lang", "source", *UPPER,
+        "failed_rules", "lang", "source", *MEASURES,
     )

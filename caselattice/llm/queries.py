@@ -34,7 +34,42 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, keep=("doc_id",), outputs=("n_tokens", "ids_sha256", "decoded_sha256"))
 
 
-@_query("op9_quality_rules")
+_RATIO_SQL = {m: f"{c}::DOUBLE / greatest({n}, 1)" for m, (c, n, _) in quality.RATIOS.items()} | {quality.MEAN: "word_chars::DOUBLE / greatest(n_words, 1)"}
+_RULES_SQL = [f"CASE WHEN f.{m} - 3 * sqrt({c}::DOUBLE * {u}) / greatest({n}, 1) > hi_{m} THEN 'high_{m}' END" for m, (c, n, u) in quality.RATIOS.items()]
+_RULES_SQL += [f"CASE WHEN f.{quality.MEAN} - e > hi_{quality.MEAN} THEN 'high_{quality.MEAN}' END", f"CASE WHEN f.{quality.MEAN} + e < lo_{quality.MEAN} THEN 'low_{quality.MEAN}' END"]
+
+
+def _sketch_sql(name: str, keys: str) -> str:
+    by = f"PARTITION BY {keys + ', ' if keys else ''}measure"
+    return f"""{name}0 AS (SELECT {keys + ', ' if keys else ''}measure, bucket, sum(n) AS n FROM cells GROUP BY ALL), {name}1 AS (SELECT *, sum(n) OVER ({by} ORDER BY bucket) AS below, sum(n) OVER ({by}) AS whole,
+  CASE WHEN bucket = -1048576 THEN 0.0::DOUBLE ELSE pow(1.01::DOUBLE, bucket) END AS v FROM {name}0),
+{name} AS (SELECT {keys + ', ' if keys else ''}measure, max(whole) AS n, min(CASE WHEN 100 * below >= 10 * whole THEN v END) AS q0, min(CASE WHEN 100 * below >= 50 * whole THEN v END) AS q1, min(CASE WHEN 100 * below >= 75 * whole THEN v END) AS q2 FROM {name}1 GROUP BY ALL)"""
+
+
+_DRAWN_SQL = ", ".join(f"(g.n * g.q{k} + 100.0::DOUBLE * (l.n * l.q{k} + 100.0::DOUBLE * a.q{k}) / (l.n + 100.0::DOUBLE)) / (g.n + 100.0::DOUBLE) AS q{k}" for k in range(3))
+_OP9_SQL = rf"""
+WITH t AS (SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (SELECT doc_id, i, hash(array_to_string(w[i : i + 7], ' ')) AS x FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 7)) AS i FROM t WHERE len(w) >= 8)),
+again AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, x) AS n FROM win) WHERE n > 1),
+covered AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM again, generate_series(0, 7) s(k) GROUP BY 1),
+c AS (SELECT t.doc_id, lang, source, len(w)::BIGINT AS n_words, length(translate(text, E' \t\n\x0b\f\r', ''))::BIGINT AS word_chars, len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols,
+  len(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]'))) AS n_lines, len(list_distinct(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')))) AS n_own_lines,
+  coalesce(covered.n, 0)::BIGINT AS n_repeat_words, len(regexp_extract_all(text, '\p{{Lu}}')) AS n_upper, len(regexp_extract_all(text, '[!?]')) AS n_marks,
+  len(list_filter(generate_series(2, len(w)), lambda i: w[i] = w[i - 1])) AS n_echoes FROM t LEFT JOIN covered USING (doc_id)),
+d AS (SELECT *, (n_lines - n_own_lines)::BIGINT AS n_dup_lines, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM c),
+f AS (SELECT *, {', '.join(f'{x} AS {m}' for m, x in _RATIO_SQL.items())}, 3 * (word_chars::DOUBLE / greatest(n_words, 1)) / (2 * sqrt(greatest(n_words, 1))) AS e FROM d),
+cells AS (SELECT lang, source, measure, CASE WHEN v > 0 THEN ceil(ln(v) / ln(1.01::DOUBLE))::INT ELSE -1048576 END AS bucket, count(*) AS n
+  FROM (SELECT lang, source, unnest([{', '.join(f"'{m}'" for m in quality.MEASURES)}]) AS measure, unnest([{', '.join(quality.MEASURES)}]) AS v FROM f WHERE NOT base_failed) GROUP BY ALL),
+{_sketch_sql("g", "lang, source")}, {_sketch_sql("l", "lang")}, {_sketch_sql("a", "")},
+q AS (SELECT g.lang, g.source, g.measure, {_DRAWN_SQL} FROM g JOIN l ON l.lang = g.lang AND l.measure = g.measure JOIN a ON a.measure = g.measure),
+b AS (SELECT lang, source, {', '.join(f"max(CASE WHEN measure = '{m}' THEN q1 + 6 * greatest(q1 - q0, 1.9::DOUBLE * (q2 - q1)) END) AS hi_{m}" for m in quality.MEASURES)},
+  max(CASE WHEN measure = '{quality.MEAN}' THEN q1 - 6 * greatest(q1 - q0, 1.9::DOUBLE * (q2 - q1)) END) AS lo_{quality.MEAN} FROM q GROUP BY ALL),
+j AS (SELECT f.*, list_filter([{', '.join(_RULES_SQL)}], lambda x: x IS NOT NULL) AS failed FROM f LEFT JOIN b ON b.lang = f.lang AND b.source = f.source)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND len(failed) = 0 AS kept, array_to_string(failed, ',') AS failed_rules FROM j
+"""
+
+
+@_query("op9_quality_rules", _OP9_SQL)
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_filter(_table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.array_join("failed_rules", ",").alias("failed_rules")

@@ -3,6 +3,7 @@
 import base64
 import collections
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -104,7 +105,7 @@ def test_word_and_shingle_hashes_follow_equality():
 def test_quality_counts(spark):
     rnd = random.Random(7)
     texts = odd_texts(rnd) + [sentence(rnd, 12) + " " + "p q r s t u v w x " * 3, "l one\nl one\n l one\nl one", "ab! " * 40] + [sentence(rnd, 60) for _ in range(30)]
-    got = {r.doc_id: r for r in quality.quality_filter(frame(spark, texts), min_rows=5).collect()}
+    got = {r.doc_id: r for r in quality.quality_filter(frame(spark, texts)).collect()}
     for i, t in enumerate(texts):
         w = WORD.findall(t or "")
         lines = [x for x in (t or "").split("\n") if WORD.search(x)]
@@ -118,7 +119,62 @@ def test_quality_counts(spark):
     assert all(got[i].kept for i in range(len(texts) - 30, len(texts)))
     assert quality.quality_filter(frame(spark, [])).count() == 0
     lost = frame(spark, texts[-30:]).withColumn("lang", F.lit(None).cast("string")).withColumn("source", F.lit(None).cast("string"))
-    assert quality.quality_filter(lost, min_rows=5).where("kept").count() == 30
+    assert quality.quality_filter(lost).where("kept").count() == 30
+
+
+def test_quality_without_a_passing_row(spark):
+    rows = quality.quality_filter(frame(spark, [None, "", "too short", "a b " * 50])).collect()
+    assert len(rows) == 4 and all(r.base_failed and not r.kept and not r.failed_rules for r in rows)
+
+
+def brute_fences(values, groups, prior, spread):
+    """Fences of one measure by sorted lists: percentiles of a group, drawn to its language's and these to all rows'."""
+    rounded = [1.01 ** math.ceil(math.log(v) / math.log(1.01)) if v > 0 else 0.0 for v in values]
+
+    def found(keep):
+        own = sorted(v for v, g in zip(rounded, groups) if keep(g))
+        return len(own), [own[math.ceil(len(own) * q / 100) - 1] for q in (10, 50, 75)]
+
+    out, (_, top) = {}, found(lambda g: True)
+    for group in set(groups):
+        n, own = found(lambda g: g == group)
+        m, lang = found(lambda g: g[0] == group[0])
+        low, mid, high = ((n * a + prior * (m * b + prior * c) / (m + prior)) / (n + prior) for a, b, c in zip(own, lang, top))
+        width = spread * max(mid - low, 1.9 * (high - mid))
+        out[group] = (mid - width, mid + width)
+    return out
+
+
+def test_quality_verdicts_equal_brute_force(spark):
+    rnd = random.Random(47)
+    rows = []
+    for i in range(400):
+        words = sentence(rnd, rnd.randrange(15, 200), 3000).split()
+        for _ in range(rnd.choice([0, 0, 0, 1, 2, 60])):
+            words[rnd.randrange(len(words))] = rnd.choice(["#", "!!", "WORD", "x" * 30, words[0]])
+        rows.append((i, " ".join(words), rnd.choice(["en", "de", None]), rnd.choice(["a", "b"]) if i % 9 else f"rare{i % 4}"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: r for r in quality.quality_filter(docs, prior_rows=30, spread=3, errors=2).collect()}
+    passing = [r for r in got.values() if not r.base_failed]
+    groups = [(r.lang, r.source) for r in passing]
+    fences = {m: brute_fences([r[m] for r in passing], groups, 30, 3) for m in quality.MEASURES}
+    n_failed = 0
+    for r, group in zip(passing, groups):
+        text = rows[r.doc_id][1]
+        n, chars = len(text.split()), len(text.replace(" ", ""))
+        pairs = sum(a == b for a, b in zip(text.split(), text.split()[1:]))
+        counted = {
+            "symbol_ratio": (text.count("#"), n, 1), "dup_line_ratio": (0, 1, 1), "repeat_ratio": (r.n_repeat_words, n, 16), "echo_ratio": (pairs, n, 1),
+            "upper_ratio": (sum(c.isupper() for c in text), chars, 1), "mark_ratio": (text.count("!"), n, 1),
+        }
+        expected = {f"high_{m}" for m, (c, of, unit) in counted.items() if c / of - 2 * math.sqrt(c * unit) / of > fences[m][group][1]}
+        mean = chars / n
+        strays = 2 * mean / (2 * math.sqrt(n))
+        low, high = fences["mean_word_chars"][group]
+        expected |= {"high_mean_word_chars"} if mean - strays > high else {"low_mean_word_chars"} if mean + strays < low else set()
+        assert set(r.failed_rules) == expected and r.kept == (not expected)
+        n_failed += bool(expected)
+    assert 0 < n_failed < len(passing) / 2
 
 
 def test_quality_fences_follow_the_group(spark):
