@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import ctypes
 import gc
+import hashlib
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,48 +42,78 @@ def held_by(operator: str) -> dict:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where it is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Only a session in one process may lack it and get
+    a folder of its own; on a cluster its executors would each write to their own disk."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
     if named:  # a path without a scheme is one of Hadoop's default store
         path = sc._jvm.org.apache.hadoop.fs.Path(named)
         return path.getFileSystem(sc._jsc.hadoopConfiguration()).makeQualified(path).toString().rstrip("/")
+    if not re.match(r"local($|\[)", sc.master):
+        raise RuntimeError("spark.checkpoint.dir is not set: name a folder that the driver and all executors share")
     if not getattr(sc, "_caselattice_shared", None):
         sc._caselattice_shared = "file://" + tempfile.mkdtemp(prefix="caselattice-shared-")
-        sc.setCheckpointDir(sc._caselattice_shared)
     return sc._caselattice_shared
 
 
+def new_path(spark: SparkSession, label: str) -> str:
+    """A path of the shared folder that nothing else uses; `release` deletes it."""
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    spark.sparkContext.__dict__.setdefault("_caselattice_written", []).append(path)
+    return path
+
+
 def stash(df: DataFrame, label: str) -> DataFrame:
     """Writes ``df`` to the shared folder and reads it back: lineage ends there and lost executors lose nothing."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    written = spark.sparkContext.__dict__.setdefault("_caselattice_written", [])
-    written.append(path)
+    path = new_path(df.sparkSession, label)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> int:
-    """Deletes the tables that `stash` has written in this session, once what was read from them is no longer needed."""
+def release(spark: SparkSession, keep: int = 0, last: int = 0) -> int:
+    """Deletes what this session has written to the shared folder, but for its first ``keep`` and its ``last`` paths, once
+    results that read them are no longer needed. Gives the number of paths that stay."""
     written = spark.sparkContext.__dict__.setdefault("_caselattice_written", [])
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    n = len(written)
-    while written:
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(written.pop())
+    end = max(len(written) - last, keep)
+    for name in written[keep:end]:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
         path.getFileSystem(conf).delete(path, True)
-    return n
-
-
-def checkpointed(df: DataFrame) -> DataFrame:
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
+    del written[keep:end]
+    return len(written)
 
 
 def total_bytes(df: DataFrame, column: str) -> int:
     return df.agg(F.coalesce(F.sum(F.octet_length(column).cast("long")), F.lit(0))).first()[0]
 
 
+# --- packed arrays ----------------------------------------------------------------------------------
+
+
+def pack(values: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(values).tobytes())
+
+
+def unpack(data: bytes, kind) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), kind)
+
+
+def pack_sorted(keys: np.ndarray) -> bytes:
+    """Ascending 64-bit keys as differences, byte planes apart, which compress well."""
+    steps = np.diff(keys, prepend=_U(0))
+    return pack(steps.view(np.uint8).reshape(-1, 8).T)
+
+
+def unpack_sorted(data: bytes) -> np.ndarray:
+    planes = unpack(data, np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64)
+
+
+def bytes_hash(data: bytes) -> int:
+    """A signed 64-bit hash."""
+    return int.from_bytes(hashlib.blake2b(data, digest_size=8).digest(), "little", signed=True)
+
+
 # --- words and shingles -----------------------------------------------------------------------------
 
 _U = np.uint64
@@ -183,19 +216,19 @@ def connected_components(edges: DataFrame) -> DataFrame:
     """``edges(a, b)`` of longs to ``(node, component)``, component the least node of it.
 
     Each node is hooked to the least node near it and paths are halved, until nothing changes; every round is
-    checkpointed, and all rows stay on the executors. Only the number of changes comes to the driver.
+    written, and all rows stay on the executors. Only the number of changes comes to the driver.
     """
     both = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    both = checkpointed(both)
+    both = stash(both, "component-arcs")
     while True:
         # large star: larger neighbours of u go to the least node near u
         arcs = both.select("u", "v").union(both.select(F.col("v"), F.col("u")))
-        low = checkpointed(arcs.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
+        low = stash(arcs.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "component-least")
         large = arcs.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         # small star: a node and its smaller neighbours go to the least of these
-        low = checkpointed(large.groupBy("u").agg(F.min("v").alias("m")))
+        low = stash(large.groupBy("u").agg(F.min("v").alias("m")), "component-least")
         small = large.join(low, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
-        small = checkpointed(small.unionByName(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
+        small = stash(small.unionByName(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct(), "component-arcs")
         same = small.join(both, ["u", "v"], "left_anti").isEmpty() and both.join(small, ["u", "v"], "left_anti").isEmpty()
         both = small
         if same:

@@ -28,34 +28,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import common
+from .common import pack, pack_sorted, unpack, unpack_sorted
 
 _U = np.uint64
 _LOWER = bytes(range(256)).lower()
 CHUNK_BYTES = 1 << 20
 
 
-# --- packed arrays ----------------------------------------------------------------------------------
-
-
-def pack(values: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(values).tobytes())
-
-
-def unpack(data: bytes, kind) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), kind)
-
-
-def pack_sorted(keys: np.ndarray) -> bytes:
-    """Ascending 64-bit keys as differences, byte planes apart, which compress well."""
-    steps = np.diff(keys, prepend=_U(0))
-    return pack(steps.view(np.uint8).reshape(-1, 8).T)
-
-
-def unpack_sorted(data: bytes) -> np.ndarray:
-    planes = unpack(data, np.uint8).reshape(8, -1)
-    return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64)
-
-
 # --- counts of contexts -----------------------------------------------------------------------------
 
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -90,7 +88,7 @@ FROM p LEFT JOIN g ON p.payload_digest = g.payload_digest AND p.payload_bytes >=
 def op1_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages").select("page_id", "url", F.encode(F.coalesce("html", F.lit("")), "utf-8").alias("payload"))
     planned = warc.plan_revisits(pages, "page_id", "payload")
-    folder = f"{common.shared_dir(spark)}/warc-{uuid.uuid4().hex}"
+    folder = common.new_path(spark, "warc")
     records = planned.select(F.col("page_id").alias("record_id"), "record_type", "refers_to", F.col("url").alias("uri"), "payload", "payload_bytes", "payload_digest")
     index = warc.write_bundles(records, folder)
     read = warc.read_bundles(spark, folder, index, fields=("record_id", "record_type", "refers_to", "payload_bytes", "payload_digest", "intact"))
