@@ -49,9 +49,10 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that don't hold a benchmark item."""
-    leaks = decontaminate.find_leaks(docs.select("doc_id", "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return docs.join(leaks.select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    """Documents that don't hold a benchmark item; rows are told apart by identifier and text."""
+    keyed = docs.withColumn("__key", F.xxhash64("doc_id", "text"))
+    leaks = decontaminate.find_leaks(keyed.select("__key", "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), doc_id="__key")
+    return keyed.join(leaks.select(F.col("doc_id").alias("__leak")).distinct(), F.col("__key") == F.col("__leak"), "left_anti").select(*docs.columns)
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -74,6 +75,8 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    before = common.release(spark, last=1 << 30)
     for name, stage in STAGES[:-1]:
         docs = common.stash(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        common.release(spark, keep=before, last=1)  # what this stage and those before it wrote, but for its output
     return STAGES[-1][1](spark, docs, sf_dir)
