@@ -7,12 +7,14 @@ that shares a minimum with an item makes a candidate; the item's shingles are th
 document's. The search reads whole documents where they lie, without a shuffle.
 
 Shingles are five words, A-Z taken as a-z. A null or empty text has none and matches nothing; an item or document of
-fewer than five words is one shingle. Repeated items and rows are all reported; extra columns are not read.
+fewer than five words is one shingle. Repeated items and rows are all reported; extra columns are not read. Identifiers
+are whole numbers or null.
 """
 
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -49,8 +51,10 @@ class ItemIndex:
                 by_class.setdefault(len(s).bit_length() - 1, []).append(k)
         for c, members in by_class.items():
             tables = []
+            joint = np.concatenate([self.shingles[k] for k in members])
+            starts = np.cumsum([0, *(len(self.shingles[k]) for k in members[:-1])])
             for factor in self.factors:
-                minima = np.array([permuted(self.shingles[k], factor).min() for k in members])
+                minima = np.minimum.reduceat(permuted(joint, factor), starts)
                 order = np.argsort(minima, kind="stable")
                 tables.append((minima[order], np.array(members)[order]))
             self.classes[c] = tables
@@ -108,11 +112,14 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id",
         items = [(r[0], r[1]) for r in part.select(F.col(item_id).cast("long"), item_text).collect()]
         shared = spark.sparkContext.broadcast(items)
 
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], shared=shared, name=uuid.uuid4().hex) -> Iterator[pa.RecordBatch]:
             from caselattice.llm import decontaminate
-            common.held_by("decontaminate")
 
-            index = decontaminate.ItemIndex(shared.value, rounds, size)
+            held_index = common.held_by("decontaminate")
+            if name not in held_index:  # a worker builds each block's index once and holds one
+                held_index.clear()
+                held_index[name] = decontaminate.ItemIndex(shared.value, rounds, size)
+            index = held_index[name]
             for rows, texts in common.text_chunks(batches, 1):
                 hashes, offsets = common.shingle_hashes(*common.word_hashes(texts), size)
                 out: list[tuple] = []

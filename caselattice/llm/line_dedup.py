@@ -2,8 +2,9 @@
 
 A line's sites are counted by a HyperLogLog sketch per line hash, merged by aggregation; lines whose estimate lies near
 the threshold get an exact distinct count. Lines are trimmed of ASCII white space; lines of fewer than ``min_words``
-words never count. A null site is the site of the empty string, a null text has no lines; repeated rows and ties need
-no rule, since spread is a set size. An empty table gives an empty result.
+words never count, as such lines meet by chance. A null site is the site of the empty string, a null text has no lines;
+repeated rows and ties need no rule, since spread is a set size, and rows are told apart by identifier and text, so that
+identifiers may be null or repeated. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -22,11 +23,11 @@ def _bare(line):
     return F.btrim(line, F.lit(_SPACES))
 
 
-def line_table(docs: DataFrame, *, doc_id: str, text: str, site: str, min_words: int) -> DataFrame:
-    """(doc_id, site, line hash, words) of every line that counts, of whole texts."""
+def line_table(docs: DataFrame, *, key, text: str, site: str, min_words: int) -> DataFrame:
+    """(key, site, line hash) of every line that counts, of whole texts."""
     lines = F.explode(F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), "\n"), _bare), lambda line: line != ""))
-    named = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(site).cast("string"), F.lit("")).alias("site"), lines.alias("line"))
-    return named.select("doc_id", "site", F.xxhash64("line").alias("h"), F.size(F.split("line", common.SPACE_CLASS)).alias("words")).where(F.col("words") >= min_words)
+    named = docs.select(key.alias("key"), F.coalesce(F.col(site).cast("string"), F.lit("")).alias("site"), lines.alias("line"))
+    return named.where(F.size(F.split("line", common.SPACE_CLASS)) >= min_words).select("key", "site", F.xxhash64("line").alias("h"))
 
 
 def spread_lines(lines: DataFrame, *, min_sites: int, log2_registers: int = 10, sigmas: float = 4.0) -> DataFrame:
@@ -45,20 +46,20 @@ def spread_lines(lines: DataFrame, *, min_sites: int, log2_registers: int = 10,
     return estimates.where(F.col("sites") > high).select("h").union(exact.where(F.col("sites") >= min_sites).select("h"))
 
 
-def remove_boilerplate(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", site: str = "source", min_sites: int = 10, min_words: int = 3, copy_percent: int = 50) -> DataFrame:
+def remove_boilerplate(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", site: str = "source", min_sites: int = 10, min_words: int = 3, copy_percent: int | None = None) -> DataFrame:
     """The rows of ``docs`` without their boilerplate lines; adds n_spread, n_removed and is_copy.
 
-    A document more than ``copy_percent`` % of whose words stand in spread lines is a copied document, not one with
-    boilerplate: it keeps its text (is_copy) for the near-duplicate join to settle. Row and column order of other columns stay; columns
-    named like the added ones are replaced.
+    With ``copy_percent``, a document with more than that share of its words in spread lines is taken for a copied one: it
+    keeps its text (is_copy), for a near-duplicate join to settle. Without it such lines go from every document. Row and
+    column order of other columns stay; columns named like the added ones are replaced.
     """
     added = ("n_spread", "n_removed", "is_copy")
-    lines = common.stash(line_table(docs, doc_id=doc_id, text=text, site=site, min_words=min_words), "line-table")
+    key = F.xxhash64(doc_id, text)
+    lines = common.stash(line_table(docs, key=key, text=text, site=site, min_words=min_words), "line-table")
     spread = common.stash(spread_lines(lines, min_sites=min_sites), "line-spread")
-    hits = lines.join(spread, "h").groupBy(F.col("doc_id").alias("__id")).agg(F.collect_set("h").alias("__hashes"))
+    hits = lines.join(spread, "h").groupBy(F.col("key").alias("__key")).agg(F.collect_set("h").alias("__hashes"))
     kept = [c for c in docs.columns if c not in added]
-    joined = docs.select(*kept).join(hits, F.col(doc_id) == F.col("__id"), "left")
-    # counted on the row itself: rows that share an identifier share the hashes, not the counts
+    joined = docs.select(*kept).withColumn("__own", key).join(hits, F.col("__own") == F.col("__key"), "left")
     parts = F.transform(
         F.split(F.coalesce(text, F.lit("")), "\n"),
         lambda line: F.struct(line.alias("line"), F.array_contains("__hashes", F.xxhash64(_bare(line))).alias("spread"), F.when(_bare(line) == "", 0).otherwise(F.size(F.split(_bare(line), common.SPACE_CLASS))).alias("words")),
@@ -71,7 +72,7 @@ def remove_boilerplate(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "
         F.coalesce(F.size(hit), F.lit(0)).cast("long").alias("n_spread"),
         F.aggregate(hit, F.lit(0), lambda total, p: total + p["words"]).alias("__hit_words"),
         F.aggregate("__parts", F.lit(0), lambda total, p: total + p["words"]).alias("__all_words"),
-    ).withColumn("is_copy", F.coalesce(100 * F.col("__hit_words") > copy_percent * F.col("__all_words"), F.lit(False)))
+    ).withColumn("is_copy", F.lit(False) if copy_percent is None else F.coalesce(100 * F.col("__hit_words") > copy_percent * F.col("__all_words"), F.lit(False)))
     changes = (F.col("n_spread") > 0) & ~F.col("is_copy") & F.col("__parts").isNotNull()
     cleaned = F.array_join(F.transform(F.filter("__parts", lambda p: ~(p["spread"] & (p["words"] >= min_words))), lambda p: p["line"]), "\n")
     return measured.select(

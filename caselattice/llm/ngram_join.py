@@ -11,7 +11,7 @@ splits the component where no link holds it. No pair is ever a row: tasks return
 
 Sets are of ``size`` words, A-Z taken as a-z; a shorter text with words is one n-gram. Null and empty texts have no
 set and link to nothing. Rows repeated under one identifier are rows of their own; a row without identifier
-gets links only from texts equal to one that has.
+gets links only from texts equal to one that has. Identifiers are whole numbers or null.
 """
 
 from __future__ import annotations

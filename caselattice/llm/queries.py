@@ -102,9 +102,8 @@ WITH raw AS (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line,
      bare AS (SELECT doc_id, source, pos, line, trim(line, E' \t\n\x0b\f\r') AS b, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words FROM raw),
      spread AS (SELECT b FROM bare WHERE words >= 3 GROUP BY b HAVING count(DISTINCT coalesce(source, '')) >= 10),
      hit AS (SELECT bare.*, words >= 3 AND spread.b IS NOT NULL AS h FROM bare LEFT JOIN spread ON bare.b = spread.b),
-     doc AS (SELECT doc_id, count(*) FILTER (h) AS n, 2 * coalesce(sum(words) FILTER (h), 0) > sum(words) AS c,
-                    coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT h), '') AS t, string_agg(line, chr(10) ORDER BY pos) AS whole FROM hit GROUP BY doc_id)
-SELECT doc_id, n AS n_spread, CASE WHEN c THEN 0 ELSE n END AS n_removed, c AS is_copy, md5(CASE WHEN c THEN whole ELSE t END) AS text_md5 FROM doc
+     doc AS (SELECT doc_id, count(*) FILTER (h) AS n, coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT h), '') AS t FROM hit GROUP BY doc_id)
+SELECT doc_id, n AS n_spread, n AS n_removed, false AS is_copy, md5(t) AS text_md5 FROM doc
 """
 
 

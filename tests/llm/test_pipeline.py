@@ -50,7 +50,7 @@ def test_stages_follow_one_another(spark, planted):
     assert cleaned.columns == columns
     rows = {r.doc_id: r for r in cleaned.collect()}
     order = sorted(texts)
-    for i, (_, _, text) in zip(order, brute_lines([texts[i] for i in order], [f"src{i % 13}" for i in order], 10)):
+    for i, (_, _, text) in zip(order, brute_lines([texts[i] for i in order], [f"src{i % 13}" for i in order], 10, copy_percent=80)):
         assert rows[i].text == text and rows[i].n_chars == len(text or "")
     single = functions["near_duplicates"](spark, docs, folder)
     classes = brute_classes([texts[i] for i in order])
@@ -80,6 +80,15 @@ def test_rows_that_share_or_lack_an_identifier(spark):
     assert got == sorted([(1, a), (1, b), (None, c), pairs[7], (8, None), (9, None)], key=str)
 
 
+def test_leaks_without_identifier_go_and_their_namesakes_stay(spark, planted):
+    folder, texts, _ = planted
+    clean = [texts[i] for i in (1, 2, 3)]
+    pairs = [(None, texts[300]), (None, clean[0]), (5, texts[300]), (5, clean[1]), (5, clean[2]), (6, None), (None, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in pairs], SCHEMA)
+    got = sorted(str((r.doc_id, r.text)) for r in corpus_pipeline.drop_benchmark_leaks(spark, docs, folder).collect())
+    assert got == sorted(str(x) for k, x in enumerate(pairs) if k not in (0, 2))
+
+
 def test_repeated_rows_and_empty_tables(spark, planted, tmp_path):
     folder, _, _ = planted
     docs = spark.read.parquet(f"{folder}/documents.parquet")

@@ -191,7 +191,7 @@ def test_quality_fences_follow_the_group(spark):
     assert all(not got[i] for i in range(151, 301)) and got[301] == ["high_upper_ratio"]
 
 
-def brute_lines(texts, sources, min_sites, min_words=3):
+def brute_lines(texts, sources, min_sites, min_words=3, copy_percent=None):
     sites = collections.defaultdict(set)
     for t, s in zip(texts, sources):
         for line in (t or "").split("\n"):
@@ -204,7 +204,7 @@ def brute_lines(texts, sources, min_sites, min_words=3):
         lines = (t or "").split("\n")
         hit = [x.strip(" \t\n\x0b\f\r") in spread for x in lines]
         words = sum(len(WORD.findall(x)) for x in lines)
-        copy = 2 * sum(len(WORD.findall(x)) for x, h in zip(lines, hit) if h) > words
+        copy = copy_percent is not None and 100 * sum(len(WORD.findall(x)) for x, h in zip(lines, hit) if h) > copy_percent * words
         out.append((sum(hit), copy, t if copy or not any(hit) else "\n".join(x for x, h in zip(lines, hit) if not h)))
     return out
 
@@ -215,9 +215,12 @@ def test_line_spread(spark):
     texts = [None, "", "\n"] + ["\n".join([sentence(rnd, 9), rnd.choice(common_lines), sentence(rnd, 6), " " + rnd.choice(common_lines), sentence(rnd, 8)]) for _ in range(60)] + [common_lines[0]] * 3
     sources = [rnd.choice(["a", "b", "c", "d", None]) for _ in texts]
     docs = spark.createDataFrame([(i, t, s, 1) for i, (t, s) in enumerate(zip(texts, sources))], "doc_id long, text string, source string, n_spread int")
-    got = {r.doc_id: (r.n_spread, r.is_copy, r.text) for r in line_dedup.remove_boilerplate(docs, min_sites=4).collect()}
-    for i, expected in enumerate(brute_lines(texts, sources, 4)):
-        assert got[i] == expected
+    for percent in (None, 50, 80):
+        got = {r.doc_id: (r.n_spread, r.is_copy, r.text) for r in line_dedup.remove_boilerplate(docs, min_sites=4, copy_percent=percent).collect()}
+        for i, expected in enumerate(brute_lines(texts, sources, 4, copy_percent=percent)):
+            assert got[i] == expected
+    nameless = docs.withColumn("doc_id", F.when(F.col("doc_id") % 2 == 0, F.col("doc_id") % 8).cast("string"))
+    assert sorted(str(r.text) for r in line_dedup.remove_boilerplate(nameless, min_sites=4).collect()) == sorted(str(e[2]) for e in brute_lines(texts, sources, 4))
     assert line_dedup.remove_boilerplate(docs.limit(0)).count() == 0
 
 
