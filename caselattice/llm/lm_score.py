@@ -8,10 +8,13 @@ training texts. Contexts not met in training leave the prediction to the deepest
 Counts come from every training text, in full. Texts are kept in shards; a shard's distinct contexts and words are
 sent to tasks that own a share of them, and only what it asked for comes back, so no task holds the whole model and
 nothing that grows with the corpus is broadcast. Trees are parted by the last two bytes of context; what joins them,
-two bytes deep, is bounded by the alphabet.
+two bytes deep, is bounded by the alphabet. An owner's trees are read once for the questions of about a thousand shards,
+which pass by in order. A shard has ``shard_bytes`` of text, or one longer text, which bounds its distinct contexts, too.
 
-Null texts are empty. A text ends with one end mark, which is scored. Repeated rows are scored and learnt as often as
-they occur; an empty table or no training row gives uniform predictions. A-Z count as a-z.
+Null texts are empty. A text ends with one end mark, which is scored. That mark and what stands before a text are bytes
+that UTF-8 never has, so the code of a text is that of no other's beginning, whatever bytes it has. Repeated rows are
+scored and learnt as often as they occur; an empty table or no training row gives uniform predictions. A-Z count as a-z.
+Identifiers are whole numbers or null.
 """
 
 from __future__ import annotations
@@ -32,6 +35,8 @@ from .common import pack, pack_sorted, unpack, unpack_sorted
 
 _U = np.uint64
 _LOWER = bytes(range(256)).lower()
+#: Bytes that no UTF-8 text has.
+BEFORE, END = b"\xfe", b"\xff"
 CHUNK_BYTES = 1 << 20
 
 
@@ -41,10 +46,10 @@ CHUNK_BYTES = 1 << 20
 def byte_grams(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
     """For every byte and end mark of some lower-cased texts the byte with its ``depth`` predecessors, and the lengths.
 
-    Before a text stand ``depth`` zero bytes; the end mark is a zero byte, too.
+    Before a text stand ``depth`` times BEFORE, and behind it END.
     """
-    pad = bytes(depth)
-    raw = np.frombuffer(b"".join([x for t in texts for x in (pad, t, b"\0")]), np.uint8)
+    pad = BEFORE * depth
+    raw = np.frombuffer(b"".join([x for t in texts for x in (pad, t, END)]), np.uint8)
     lengths = np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts))
     n = len(raw) - depth
     grams = np.zeros(max(n, 0), np.uint64)
@@ -367,33 +372,45 @@ def _model(counts: DataFrame, top: _Top, depth: int) -> DataFrame:
     return common.stash(counts.mapInArrow(run, "owner long, keys binary, logs binary"), "lm-model")
 
 
-def _slices(requests: DataFrame, model: DataFrame) -> DataFrame:
-    """(shard, keys, logs) for what each shard asked: its requests meet their owner's row."""
-    asked = requests.where("kind = 1").select("owner", "shard", "keys")
-    met = asked.join(model.select("owner", F.col("keys").alias("all_keys"), "logs"), "owner").select("shard", "keys", "all_keys", "logs")
+def _answers(requests: DataFrame, model: DataFrame, n_shards: int, fan_in: int = 1024) -> DataFrame:
+    """(shard, keys, logs) for what each shard asked: an owner's row stands before the requests of ``fan_in`` shards, which
+    are answered one after the other. No task holds more than an owner's row and a batch of requests."""
+    parts = max(1, math.ceil(n_shards / fan_in))
+    nothing = F.lit(None).cast("binary")
+    asked = requests.where("kind = 1").select("owner", F.pmod(F.xxhash64("shard"), F.lit(parts)).alias("part"), F.lit(1).alias("kind"), "shard", "keys", nothing.alias("logs"))
+    known = model.select("owner", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))).alias("part"), F.lit(0).alias("kind"), F.lit(0).cast("long").alias("shard"), "keys", "logs")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from caselattice.llm import lm_score
         common.held_by("lm_score")
 
+        keys, logs = np.empty(0, np.uint64), np.empty(0, np.float32)
         for batch in batches:
-            logs = []
-            for keys, all_keys, values in zip(*(batch.column(k).to_pylist() for k in (1, 2, 3)), strict=True):
-                logs.append(lm_score.pack(lm_score.unpack(values, np.float32)[np.searchsorted(lm_score.unpack_sorted(all_keys), lm_score.unpack_sorted(keys))]))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(logs, pa.binary())], names=["shard", "keys", "logs"])
+            out: list[tuple] = []
+            for i, kind in enumerate(batch.column(2).to_pylist()):
+                own = lm_score.unpack_sorted(batch.column(4)[i].as_py())
+                if kind:
+                    out.append((batch.column(3)[i].as_py(), batch.column(4)[i].as_py(), lm_score.pack(logs[np.searchsorted(keys, own)])))
+                else:
+                    keys, logs = own, lm_score.unpack(batch.column(5)[i].as_py(), np.float32)
+            columns = list(zip(*out, strict=True)) or [()] * 3
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.binary(), pa.binary()), strict=True)], names=["shard", "keys", "logs"])
 
+    met = known.unionByName(asked).repartition("owner", "part").sortWithinPartitions("owner", "part", "kind")
     return met.mapInArrow(run, "shard long, keys binary, logs binary")
 
 
 _SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, n_bytes long, score double"
 
 
-def score(docs: DataFrame, held: Column, *, doc_id: str = "doc_id", text: str = "text", depth: int = 5, shard_bytes: int = 64 << 20, owner_bytes: int = 16 << 20) -> DataFrame:
+def score(docs: DataFrame, held: Column, *, doc_id: str = "doc_id", text: str = "text", depth: int = 5, shard_bytes: int = 32 << 20, owner_bytes: int = 16 << 20) -> DataFrame:
     """Scores of every whole text by trees and by word counts learnt from the rows where ``held`` is false or null.
 
     score: log10 probability of the bytes and the end mark; base_score: of the words and the end under counts plus one.
-    -score / log10(2) / n_bytes is the code length in bits per byte.
+    -score / log10(2) / n_bytes is the code length in bits per byte. ``depth`` is from 2 to 6.
     """
+    if not 2 <= depth <= 6:
+        raise ValueError("depth is from 2 to 6: trees are parted by two bytes, and a key holds seven")
     common.ship_package(docs.sparkSession)
     named = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(held, F.lit(False)).alias("held"), F.col(text).alias("text"))
     shards = _shards(named, shard_bytes)
@@ -406,7 +423,7 @@ def score(docs: DataFrame, held: Column, *, doc_id: str = "doc_id", text: str =
     counts = _tree_counts(requests, n_shards)
     model = _model(counts, _top(counts, depth), depth)
     nothing = F.lit(None).cast("binary")
-    answers = words.select("shard", "words", "counts", nothing.alias("keys"), nothing.alias("logs")).unionByName(_slices(requests, model).select("shard", nothing.alias("words"), nothing.alias("counts"), "keys", "logs"))
+    answers = words.select("shard", "words", "counts", nothing.alias("keys"), nothing.alias("logs")).unionByName(_answers(requests, model, n_shards).select("shard", nothing.alias("words"), nothing.alias("counts"), "keys", "logs"))
 
     def run(texts: pa.Table, answers: pa.Table) -> pa.Table:
         from caselattice.llm import lm_score

@@ -364,7 +364,7 @@ def test_context_trees_equal_one_table(spark):
 
 
 def _context(text, depth):
-    return int.from_bytes(text[:depth].rjust(depth, b"\0"), "big")
+    return int.from_bytes(text[:depth].rjust(depth, lm_score.BEFORE), "big")
 
 
 def test_context_trees_weigh_like_the_definition():
@@ -387,6 +387,68 @@ def test_context_trees_weigh_like_the_definition():
     assert top.share[0] == pytest.approx(own / (own + children))
 
 
+def brute_trees(texts, depth):
+    """log10 of a text's bytes and end under context trees learnt from ``texts``, node by node."""
+
+    def decisions(text):
+        whole = b"\xfe" * depth + text + b"\xff"
+        for i in range(depth, len(whole)):
+            for k in range(8):
+                yield whole[i - depth : i], f"{whole[i]:08b}"[:k], int(f"{whole[i]:08b}"[k])
+
+    counts = collections.defaultdict(lambda: [0, 0])
+    for t in texts:
+        for context, bits, one in decisions(t):
+            for d in range(depth + 1):
+                counts[context[depth - d :], bits][one] += 1
+    below = collections.defaultdict(list)
+    for context, bits in counts:
+        if context:
+            below[context[1:], bits].append((context, bits))
+
+    def kt(zeros, ones):
+        steps = [(i + 0.5) / (i + 1) for i in range(zeros)] + [(i + 0.5) / (zeros + i + 1) for i in range(ones)]
+        return math.fsum(map(math.log, steps))
+
+    weights, shares = {}, {}
+    for node in sorted(counts, key=lambda n: -len(n[0])):
+        own = kt(*counts[node])
+        if len(node[0]) == depth:
+            weights[node], shares[node] = own, 1.0
+        else:
+            rest = math.fsum(weights[c] for c in below[node])
+            top = max(own, rest)
+            weights[node] = top + math.log(0.5 * math.exp(own - top) + 0.5 * math.exp(rest - top))
+            shares[node] = math.exp(own - top) / (math.exp(own - top) + math.exp(rest - top))
+
+    def score(text):
+        total = 0.0
+        for context, bits, one in decisions(text):
+            p = None
+            for d in range(depth, -1, -1):
+                node = (context[depth - d :], bits)
+                if node in counts:
+                    n = counts[node]
+                    own = (n[one] + 0.5) / (sum(n) + 1)
+                    p = own if p is None else shares[node] * own + (1 - shares[node]) * p
+            total += math.log10(0.5 if p is None else p)
+        return total
+
+    return score
+
+
+def test_context_trees_equal_brute_force(spark):
+    rnd = random.Random(59)
+    texts = [None, "", "a", "a\0", "a\0\0", "\0", "é中", "Ab ab AB"] + [" ".join(rnd.choice(["ab", "abc", "cab", "b\0c", "ü"]) for _ in range(rnd.randrange(12))) for _ in range(30)]
+    docs = frame(spark, texts)
+    for depth in (2, 3):
+        got = {r.doc_id: r for r in lm_score.score(docs.repartition(4), F.col("doc_id") % 5 == 2, depth=depth, shard_bytes=60, owner_bytes=50).collect()}
+        expected = brute_trees([lower(t) for i, t in enumerate(texts) if i % 5 != 2], depth)
+        assert len(got) == len(texts)
+        for i, t in enumerate(texts):
+            assert got[i].score == pytest.approx(expected(lower(t)), rel=1e-5)
+
+
 def test_scores_without_rows_or_training(spark):
     assert lm_score.score(frame(spark, []), F.lit(False)).count() == 0
     rows = lm_score.score(frame(spark, ["ab", None]), F.lit(True)).orderBy("doc_id").collect()
