@@ -500,7 +500,28 @@ def test_secrets(spark):
     assert judged[2] == [True] and judged[3] == [True] and judged[8] == [True] and judged[9] == [True, True]
     assert judged[4] == [False] and judged[5] == [False] and judged[7] == [False] and 6 not in judged and 0 not in judged
     assert secret_scan.scan(frame(spark, [])).count() == 0
-    own = secret_scan.labelled_findings(spark, 600)
+    own = secret_scan.labelled_findings(spark, 800)
     again = secret_scan.scan(docs, labelled=own).collect()
     assert sorted((r.doc_id, r.position) for r in again) == sorted((r.doc_id, r.position) for r in rows)
     assert sorted(map(str, secret_scan.scan(docs, labelled=own).collect())) == sorted(map(str, again))
+
+
+def test_secrets_by_context_and_blocks(spark):
+    body = ["MIIEpAIBAAKCAQEA0Z3VS5JJcds3xfn/ygWyF8PbnGy0AHB7MaXFvSrq1eP2", "bU9i9f8q9A=="]
+    block = lambda name: f"x\n-----BEGIN {name}-----\n" + "\n".join(body) + f"\n-----END {name}-----\ny"
+    texts = ['password: "Tr0ub4dor&3" x', "password: required", block("RSA PRIVATE KEY"), block("CERTIFICATE"), "pwd=hunter2x9!, and key=id", "-----BEGIN nothing", 'token="${TOK}"', "auth: =", "note: 12345x!", "passwd = abc"]
+    got = collections.defaultdict(dict)
+    for r in secret_scan.scan(frame(spark, texts)).collect():
+        got[r.doc_id][r.candidate] = r.is_secret
+    assert got[0] == {"Tr0ub4dor&3": True} and got[1] == {"required": False} and got[4] == {"hunter2x9!": True} and got[6] == {"${TOK}": False}
+    assert got[2]["".join(body)] and not got[3]["".join(body)] and not any(got[i] for i in (5, 7, 8, 9))
+    rows = {(r.doc_id, r.position, r.candidate, r.key) for r in secret_scan.candidates(frame(spark, texts), least=3).collect()}
+    assert {(0, 1, "Tr0ub4dor&3", '"'), (2, 1, "".join(body), "RSA PRIVATE KEY-----:"), (4, 0, "hunter2x9!", "pwd="), (9, 2, "abc", "")} <= rows
+
+
+def test_findings_left_out_of_the_forest(spark):
+    pieces = secret_scan.dictionary(frame(spark, ["the data file of the user", None]))
+    found = secret_scan.held_out(secret_scan.labelled_findings(spark, 2000), pieces).first()
+    assert 300 < found.n < 500 and found.precision > 0.95 and found.recall > 0.95
+    with pytest.raises(ValueError):
+        secret_scan.train(secret_scan.labelled_findings(spark, 100).limit(0), pieces)
