@@ -525,3 +525,35 @@ def test_findings_left_out_of_the_forest(spark):
     assert 300 < found.n < 500 and found.precision > 0.95 and found.recall > 0.95
     with pytest.raises(ValueError):
         secret_scan.train(secret_scan.labelled_findings(spark, 100).limit(0), pieces)
+
+
+def test_toxic_evidence_equals_brute_force(spark):
+    """Shared passages count once, near copies of a label teach once, and all stems are tested."""
+    rnd = random.Random(61)
+    passage, copied = sentence(rnd, 30, 3000), sentence(rnd, 60, 3000)
+    texts = [sentence(rnd, 40, 3000) + (" " + passage if i % 3 == 0 else "") + (f" vilgor{i % 4}" if i % 2 else "") for i in range(40)] + [copied, copied, edited(rnd, copied, 1), None, "", "few words"]
+    rows = spark.createDataFrame([(t, i, 1) for i, t in enumerate(texts)], "text string, __row long, __y int")
+    seen, own = set(), []
+    for t in texts:
+        words = lower(t).decode().split()
+        grams = [tuple(words[i : i + 5]) for i in range(max(len(words) - 4, 1))] if words else []
+        gone = {j for i, g in enumerate(grams) if g in seen for j in range(i, i + 5)}
+        own.append(" ".join(w for j, w in enumerate((t or "").split()) if j not in gone))
+        seen.update(grams)
+    assert sorted(r.text for r in toxicity._own_words(rows).collect()) == sorted(own)
+    apart = {r["__row"] for r in toxicity._apart(rows).collect()}
+    assert apart == set(range(len(texts))) - {41, 42, 44}
+    assert {r["__row"] for r in toxicity._apart(rows.withColumn("__y", F.col("__row").cast("int") % 2)).collect()} >= {40, 41}
+    clean = [sentence(rnd, 40, 3000) for _ in range(200)]
+    mined = toxicity.mine_stems(rows.select("text"), spark.createDataFrame([(t,) for t in clean], "text string"), len(texts), len(clean), most=50)
+    on = lambda docs, name: sum(name in toxicity.features_of(set(toxicity.words_of(t))) for t in docs)
+    assert mined and all((t, c) == (on(texts, name), on(clean, name)) for name, t, c in mined) and any(name.startswith("vilgor") for name, _, _ in mined)
+
+
+def test_sparse_rows_equal_dense_ones():
+    rng = np.random.default_rng(3)
+    sets, dense = [sorted(rng.choice(7, rng.integers(0, 5), replace=False).tolist()) for _ in range(9)], rng.random((9, 2))
+    full = np.hstack([[[float(c in s) for c in range(7)] for s in sets], dense])
+    table, w, r = toxicity.Sparse(sets, 7, dense), rng.random(9), rng.random(9)
+    assert np.allclose(table.times(w), full @ w) and np.allclose(table.transposed_times(r), full.T @ r)
+    assert np.allclose(table.square_sums(), (full**2).sum(axis=1)) and np.allclose(table.first_columns(4), full[:, :4])
