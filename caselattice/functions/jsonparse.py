@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass, field
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -17,7 +18,6 @@ from pyspark.sql import types as T
 
 from caselattice import schema
 
-OUTPUT = "rows array<map<string,string>>, parse_success boolean, strict_json_array boolean, parse_mode string"
 _DECODE = json.JSONDecoder().raw_decode
 _OPENING = re.compile(r"[\[{]")
 
@@ -39,56 +39,78 @@ def unwrapped(text: str, *, cut_first: bool) -> str:
     return re.sub(r"\s*```\s*\Z", "", re.sub(r"\A\s*```(?:json)?\s*", "", text.strip(), flags=re.I)).strip()
 
 
-def _listed(value, keys) -> tuple[list | None, str]:
+def listed(value, keys: tuple[str, ...]) -> tuple[str, list] | None:
+    """A list and how it was held: by itself, or as the first list among an object's ``keys``."""
     if isinstance(value, list):
-        return value, "array"
-    if isinstance(value, dict):
-        return next(((value[k], f"object_wrapper:{k}") for k in keys if isinstance(value.get(k), list)), (None, ""))
-    return None, ""
+        return "array", value
+    held = value if isinstance(value, dict) else {}
+    return next(((f"object_wrapper:{k}", held[k]) for k in keys if isinstance(held.get(k), list)), None)
 
 
-def _whole(text: str):
+@dataclass
+class Reading:
+    """What was read out of a text: its rows, how, and what is wrong."""
+
+    rows: list[dict] = field(default_factory=list)
+    mode: str = "failed"
+    errors: list[str] = field(default_factory=list)
+
+    @property
+    def success(self) -> bool:
+        return self.mode != "failed" and not self.errors
+
+    @property
+    def strict(self) -> bool:
+        return self.mode == "strict_json_array"
+
+
+def _candidates(text: str) -> Iterator[tuple[str, list]]:
+    """Lists in the order in which they are tried: the whole text's, then those in it without thoughts and fences."""
     try:
-        return json.loads(text)
+        whole = listed(json.loads(text), schema.ROW_LIST_KEYS)
     except json.JSONDecodeError:
-        return None
+        whole = None
+    if whole:
+        yield ("strict_json_array" if whole[0] == "array" else whole[0]), whole[1]
+    for value in values_in(unwrapped(text, cut_first=False)):
+        if (held := listed(value, schema.ROW_LIST_KEYS)) is not None:
+            yield f"recovered_{held[0]}", held[1]
 
 
-def read_evaluation(text: str) -> tuple[list[dict], bool, bool, str]:
-    """(rows, success, strict, mode)"""
-    rows, kind = _listed(_whole(text.strip()), schema.ROW_LIST_KEYS)
-    strict, mode = kind == "array", "strict_json_array" if kind == "array" else kind
-    if rows is None:
-        found = ((r, k) for r, k in (_listed(v, schema.ROW_LIST_KEYS) for v in values_in(unwrapped(text, cut_first=False))) if r is not None)
-        rows, kind = next(found, (None, ""))
-        mode = f"recovered_{kind}" if rows is not None else "failed"
-    good = rows is not None and all(isinstance(r, dict) for r in rows)
-    return (rows if good else []), good, strict, mode
+def read_evaluation(text: str) -> Reading:
+    """The first list that the text gives; one that holds anything but objects gives no rows."""
+    mode, rows = next(_candidates(text.strip()), ("failed", []))
+    if mode == "failed":
+        return Reading(errors=["no_json_list"])
+    odd = [f"[{i}]:not_an_object" for i, r in enumerate(rows) if not isinstance(r, dict)]
+    return Reading([] if odd else rows, mode, odd)
 
 
-def read_judge(text: str) -> list[dict]:
+def read_judge(text: str) -> Reading:
+    """The first value that is a list, or an object that names one; what in it is no object is left out."""
     for value in values_in(unwrapped(text, cut_first=True)):
+        held = value
         if isinstance(value, dict):
-            first = value.get(schema.ROW_LIST_KEYS[0])
-            value = first if first is not None else next((value[k] for k in ("rows", "steps", "table") if k in value), None)
-        if isinstance(value, list):
-            return [r for r in value if isinstance(r, dict)]
-    return []
+            head, *others = schema.JUDGE_LIST_KEYS
+            held = value[head] if value.get(head) is not None else next((value[k] for k in others if k in value), None)
+        if isinstance(held, list):
+            return Reading([r for r in held if isinstance(r, dict)], "judge")
+    return Reading(errors=["no_json_list"])
 
 
-def read_server(text: str) -> list[dict]:
-    bare, rows = unwrapped(text, cut_first=False), None
+def read_server(text: str) -> Reading:
+    """The last list with objects among all values of the text, else the first list."""
+    bare = unwrapped(text, cut_first=False)
     try:
         values = [json.loads(bare)]
     except json.JSONDecodeError:
-        values = values_in(bare)
-    for value in values:
-        if isinstance(value, dict):
-            value = next((value[k] for k in schema.ROW_LIST_KEYS if k in value), [])
-        if isinstance(value, list):
-            own = [r for r in value if isinstance(r, dict)]
-            rows = own if own or rows is None else rows
-    return rows or []
+        values = list(values_in(bare))
+    held = [next((v[k] for k in schema.ROW_LIST_KEYS if k in v), []) if isinstance(v, dict) else v for v in values]
+    lists = [[r for r in v if isinstance(r, dict)] for v in held if isinstance(v, list)]
+    return Reading(next((v for v in reversed(lists) if v), []), "server") if lists else Reading(errors=["no_json_list"])
+
+
+READERS = {"evaluation": read_evaluation, "judge": read_judge, "server": read_server}
 
 
 def first_object(text: str) -> dict | None:
@@ -100,24 +122,27 @@ def _cell(value) -> str | None:
 
 
 def recover_rows(outputs: DataFrame, text: str, *, reader: str = "evaluation", keep: tuple[str, ...] = ("id",)) -> DataFrame:
-    """Adds rows, parse_success, strict_json_array and parse_mode; a null text is an empty one."""
-    out = T.StructType([outputs.schema[c] for c in keep]).jsonValue()
-    out = T.StructType([*T.StructType.fromJson(out).fields, *T._parse_datatype_string(OUTPUT).fields])
+    """Adds rows, parse_success, strict_json_array, parse_mode, schema_valid and errors; a null text is an empty one.
+
+    errors: why nothing was read, or what `prep.row_errors` says of the rows; schema_valid: there is none.
+    """
+    from caselattice.operators.prep import row_errors
+
+    read = "parsed array<map<string,string>>, parse_success boolean, strict_json_array boolean, parse_mode string, found array<string>, written string"
+    out = T.StructType([*(outputs.schema[c] for c in keep), *T._parse_datatype_string(read).fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = []
-            for value in batch.column(len(keep)).to_pylist():
-                if reader == "evaluation":
-                    found.append(read_evaluation(value or ""))
-                else:
-                    rows = (read_judge if reader == "judge" else read_server)(value or "")
-                    found.append((rows, bool(rows), False, reader))
-            maps = [[[(k, _cell(v)) for k, v in r.items()] for r in rows] for rows, *_ in found]
-            columns = [pa.array(maps, pa.list_(pa.map_(pa.string(), pa.string()))), *(pa.array([f[i] for f in found], t) for i, t in ((1, pa.bool_()), (2, pa.bool_()), (3, pa.string())))]
+            found = [READERS[reader](value.as_py() or "") for value in batch.column(len(keep))]
+            maps = [[[(k, _cell(v)) for k, v in r.items()] for r in f.rows] for f in found]
+            written = [json.dumps(f.rows, ensure_ascii=False) if f.success else None for f in found]
+            columns = [pa.array(maps, pa.list_(pa.map_(pa.string(), pa.string()))), pa.array([f.success for f in found], pa.bool_()), pa.array([f.strict for f in found], pa.bool_()), pa.array([f.mode for f in found], pa.string()), pa.array([f.errors for f in found], pa.list_(pa.string())), pa.array(written, pa.string())]
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(keep))), *columns], names=out.names)
 
-    return outputs.select(*keep, text).mapInArrow(run, out)
+    got = outputs.select(*keep, text).mapInArrow(run, out)
+    errors = F.when(F.col("written").isNull(), F.col("found")).otherwise(row_errors(typed_rows("written")))
+    got = got.withColumn("errors", errors)
+    return got.select(*keep, F.col("parsed").alias("rows"), "parse_success", "strict_json_array", "parse_mode", (F.size("errors") == 0).alias("schema_valid"), "errors")
 
 
 def response_text(c) -> Column:

@@ -75,8 +75,8 @@ def is_true(c) -> Column:
 def reference_form(c) -> Column:
     """Identifiers after @ become @ID, with single spaces about operators; values without @ are only stripped."""
     bare = strip(c)
-    named = F.regexp_replace(bare, r"@[A-Za-z0-9_\x{4e00}-\x{9fff}]+", "@ID")
-    spaced = F.regexp_replace(named, r"(?U)\s*([*+\-/])\s*", " $1 ")
+    named = F.regexp_replace(bare, schema.REFERENCE_PATTERN, "@ID")
+    spaced = F.regexp_replace(named, rf"(?U)\s*({schema.OPERATOR_PATTERN})\s*", " $1 ")
     return F.when(bare.contains("@"), strip(F.regexp_replace(spaced, r"(?U)\s+", " "))).otherwise(bare)
 
 
@@ -108,15 +108,15 @@ def numeric_form(c) -> Column:
 def field_form(value, field, *, nfkc: bool = True) -> Column:
     """A value as it is compared, by the field's kind; the first kind that fits decides, so references beat numbers."""
     shaped = strip(nfkc_text(text_of(value)) if nfkc else value)
-    name = F.col(field) if isinstance(field, str) else field
-    return (
-        F.when(shaped.isin("", "null", "None", "[]"), "")
-        .when(name.isin(*schema.REFERENCE_FIELDS), reference_form(shaped))
-        .when(name.isin(*schema.BOOLEAN_FIELDS), casefold_text(shaped) if nfkc else F.lower(shaped))
-        .when(name.isin(*schema.NUMERIC_FIELDS), numeric_form(shaped))
-        .when(name == schema.COMBINE_FIELD, F.replace(F.replace(shaped, F.lit("全部成功"), F.lit("all")), F.lit("任一成功"), F.lit("any")))
-        .otherwise(shaped)
-    )
+    combined = shaped
+    for word, short in schema.COMBINE_WORDS.items():
+        combined = F.replace(combined, F.lit(word), F.lit(short))
+    forms = {"reference": reference_form(shaped), "flag": casefold_text(shaped) if nfkc else F.lower(shaped), "number": numeric_form(shaped), "combination": combined}
+    kind = F.element_at(F.create_map(*[F.lit(x) for item in schema.FIELD_KINDS.items() for x in item]), F.col(field) if isinstance(field, str) else field)
+    out = F.when(shaped.isin(*schema.NOTHING), "")
+    for name, form in forms.items():
+        out = out.when(kind == name, form)
+    return out.otherwise(shaped)
 
 
 @F.pandas_udf(T.StringType())
@@ -210,6 +210,12 @@ def judged_true(c) -> Column:
     return F.lower(strip(c)).isin(*YES_WORDS)
 
 
+def stamp(at: Column | None = None, zone: str = "UTC") -> Column:
+    """A moment as text with its offset, the current one by default."""
+    moment = F.current_timestamp() if at is None else at
+    return F.date_format(F.from_utc_timestamp(F.to_utc_timestamp(moment, F.current_timezone()), zone), "yyyy-MM-dd'T'HH:mm:ss")
+
+
 def round_micro(c) -> Column:
     """Millionths as a long, rounded half up from the double alone: the same in every engine."""
     return F.floor((F.col(c) if isinstance(c, str) else c) * 1e6 + 0.5).cast("long")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from caselattice.functions import text as tx
@@ -24,10 +24,19 @@ def search(samples: DataFrame, words: str) -> DataFrame:
 
 
 def page(samples: DataFrame, sort: str, number: int, size: int) -> DataFrame:
-    """Page ``number`` from 0 with 1 to 1000 rows: the page is the feature. Rows carry their place in the whole order."""
+    """Page ``number`` from 0 with 1 to 1000 rows: the page is the feature. Rows carry their ``place`` in the whole order,
+    from 1; a page's rows are numbered in one task."""
     number, size = max(0, number), min(1000, max(1, size))
     by = SORTS.get(sort, SORTS["delta_desc"])
-    return samples.orderBy(F.desc(by[1:]) if by.startswith("-") else F.asc(by), "id").offset(number * size).limit(size)
+    order = [F.desc(by[1:]) if by.startswith("-") else F.asc(by), F.asc("id")]
+    shown = samples.orderBy(*order).offset(number * size).limit(size)
+    return shown.withColumn("place", F.row_number().over(Window.orderBy(*order)) + number * size)
+
+
+def page_with_total(samples: DataFrame, sort: str, number: int, size: int) -> tuple[DataFrame, DataFrame]:
+    """(page, one row with the total before it was cut and the number of pages)"""
+    size_ = min(1000, max(1, size))
+    return page(samples, sort, number, size), samples.agg(F.count(F.lit(1)).alias("total"), F.ceil(F.count(F.lit(1)) / size_).alias("pages"))
 
 
 def device_rollup(rows: DataFrame, by: str, has_code: Column, found: Column) -> DataFrame:
@@ -54,9 +63,33 @@ def long_enough(c, least: int = 20) -> Column:
     return F.char_length(tx.strip(c)) >= least
 
 
-def best_directory(found: DataFrame) -> DataFrame:
+def best_directory(found: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """Of complete result folders (path, num_samples, modified) that with most samples, then the latest."""
-    return found.agg(F.max_by("path", F.struct("num_samples", "modified", "path")).alias("path"))
+    return found.groupBy(*by).agg(F.max_by("path", F.struct("num_samples", "modified", "path")).alias("path"))
+
+
+def discover(spark: SparkSession, root: str, override: str | None = None) -> tuple[str, str]:
+    """(folder, layout) to read results from: ``override`` if given; else of the folders below ``root`` that hold two variants
+    the one with most samples, then the latest; else the first that holds an older batch; else ``root`` itself."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    path_of = jvm.org.apache.hadoop.fs.Path
+    fs = path_of(root).getFileSystem(conf)
+
+    def names(folder: str) -> set[str]:
+        at = path_of(folder)
+        return {s.getPath().getName() for s in fs.listStatus(at) if s.isFile()} if fs.exists(at) else set()
+
+    if override:
+        return override, layout(names(override))
+    below = sorted(s.getPath().toString() for s in fs.listStatus(path_of(root)) if s.isDirectory()) if fs.exists(path_of(root)) else []
+    kinds = {folder: layout(names(folder)) for folder in [*below, root]}
+    complete = []
+    for folder in (f for f, k in kinds.items() if k == "paired"):
+        summary = path_of(f"{folder}/{SUMMARY_FILE}")
+        said = spark.read.option("wholetext", True).text(summary.toString()).select(F.get_json_object("value", "$.num_samples").try_cast("long")).first()[0]
+        complete.append((said or 0, fs.getFileStatus(summary).getModificationTime(), folder))
+    chosen = max(complete)[2] if complete else next((f for f, k in kinds.items() if k == "legacy"), root)
+    return chosen, kinds[chosen]
 
 
 def columns_in_order(tables: DataFrame, canonical: list[str], by: str = "id", rows: str = "rows") -> DataFrame:
@@ -74,7 +107,8 @@ def row_style(modified: Column, level: Column, index: Column) -> Column:
 
 
 #: The files of a results folder with two variants, and of an older one.
-PAIRED_FILES = {"vllm_compare_summary.json", "base_predictions.jsonl", "lora_predictions.jsonl"}
+SUMMARY_FILE = "vllm_compare_summary.json"
+PAIRED_FILES = {SUMMARY_FILE, "base_predictions.jsonl", "lora_predictions.jsonl"}
 OLDER_FILE = "did_batch_summary.json"
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import logging
 from collections.abc import Callable
 
 import pandas as pd
@@ -72,28 +73,36 @@ def open_index(spark: SparkSession, folder: str, records: DataFrame | None = Non
     return tables | {"manifest": manifest}
 
 
-def search_index(index: dict, queries: DataFrame, *, query_tokens: Column, encode=None, pool: int = 50, k: int = 5) -> DataFrame:
+def search_index(index: dict, queries: DataFrame, *, query_tokens: Column, encode=None, pool: int = 50, k: int = 5, strict: bool = False) -> DataFrame:
     """Hybrid search of (query, text): a lexical pool, dense scores within it, fusion, the first ``k``.
 
-    Without vectors or encoder, or where the encoder fails for the manifest's sake, ranks are lexical alone.
+    Without vectors or encoder ranks are lexical alone; so they are where the encoder fails on the first query, unless
+    ``strict``. Scores are compared to nine decimals, so that ties don't hang on the order of a sum.
     """
     post, stats = index["postings"], index["stats"]
     asked = queries.select("query", F.explode(query_tokens).alias("term")).groupBy("query", "term").agg(F.count(F.lit(1)).alias("qtf"))
     idf = retrieval.term_stats(post, stats)
     weight = F.col("qtf") * F.col("idf") * F.col("tf") * 2.5 / (F.col("tf") + 1.5 * (0.25 + 0.75 * F.col("doc_len") / F.col("avgdl")))
     met = retrieval.small(asked).join(post, "term").join(idf, "term").crossJoin(F.broadcast(stats.select("avgdl")))  # one row
-    ranked = retrieval.top_k(met.groupBy("query", "doc").agg(F.sum(weight).alias("score")), max(pool, k), name="bm25_rank")
+    ranked = retrieval.top_k(met.groupBy("query", "doc").agg(F.round(F.sum(weight), 9).alias("score")), max(pool, k), name="bm25_rank")
+    if encode is not None and not strict:
+        try:
+            queries.limit(1).select(encode("text")).collect()
+        except Exception as error:  # whatever the caller's encoder raises
+            logging.getLogger(__name__).warning("the encoder fails, ranks are lexical alone: %s", error)
+            encode = None
     if encode is None or "vectors" not in index:
         scored = ranked.withColumn("dense", F.lit(None).cast("double"))
     else:
-        scored = retrieval.rerank(ranked, index["vectors"], queries.select("query", encode("text").alias("qv")))
+        scored = retrieval.rerank(ranked, index["vectors"], queries.select("query", encode("text").alias("qv"))).withColumn("dense", F.round("dense", 9))
     return retrieval.fuse(scored).where(F.col("final_rank") <= k)
 
 
 def case_documents(cases: DataFrame, tables: DataFrame) -> DataFrame:
     """(id, source, ao_text, table, defined_ids, search_text) of cases met with their predicted tables; the last table
     of an id counts."""
-    last = tables.groupBy("id").agg(F.last("rows").alias("table"))
+    # of tables under one id the last counts: by ``line_number`` where there is one, else the greatest as text
+    last = tables.groupBy("id").agg(F.max_by("rows", "line_number" if "line_number" in tables.columns else F.to_json("rows")).alias("table"))
     met = cases.join(last, "id", "left").withColumn("table", F.coalesce("table", F.array().cast("array<map<string,string>>")))
     markers = F.transform("table", lambda row: F.element_at(row, F.lit("判据关联标志")))
     return met.select(

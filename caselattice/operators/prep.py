@@ -22,11 +22,24 @@ def last_wins(rows: DataFrame, key: str, order: str) -> DataFrame:
     return rows.groupBy(key).agg(F.min(order).alias(order), F.max_by(F.struct(*others), order).alias("v")).select(key, order, "v.*")
 
 
+def split_tables(rows: DataFrame, part: str = "part") -> dict[str, DataFrame]:
+    """The rows of each part, and all of them again as one, without the column that names it."""
+    parts = {name: rows.where(F.col(part) == name).drop(part) for name in ("train", "eval", "test")}
+    return parts | {"all": parts["train"].unionByName(parts["eval"]).unionByName(parts["test"])}
+
+
+def conversion_report(report: DataFrame, sources: dict[str, dict]) -> dict:
+    """The counts of a conversion with what is known of its inputs: for each its path, encoding, delimiter, bytes and
+    SHA-256 (`files.source_facts`), and when it was made."""
+    counts = report.first().asDict()
+    return {"created_at": report.sparkSession.range(1).select(tx.stamp()).first()[0], "sources": sources, "statistics": counts}
+
+
 def convert_commands(commands: DataFrame, categories: DataFrame, include_deleted: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(records, rejects, report) of device commands met with their categories.
 
     Both inputs have row_number. A row is judged in this order: deleted, without id, repeated id, category missing or
-    deleted; a row without category still takes its id.
+    deleted; a row without category still takes its id. The repeated ids themselves are among the rejects.
     """
     deleted = F.lit(False) if include_deleted else tx.is_true("deleted")
     cats = categories.select(tx.clean("dev_cat_id").alias("cat"), "row_number", deleted.alias("gone"), *[tx.clean(c).alias(c) for c in ("dev_cat_name", "dev_cat_desc", "device_cat_code", "device_cat_alias")]).where("cat <> ''")
@@ -36,7 +49,9 @@ def convert_commands(commands: DataFrame, categories: DataFrame, include_deleted
         *[tx.clean(c).alias(c) for c in ("command_desc", "command_code", "param_type", "param_desc")],
     )
     live = own.where("NOT gone")
-    first = first_wins(live, ["command"], ["row_number"])
+    # rows without an id are never compared, so they do not meet in one task
+    blank = live.where("command = ''").withColumn("copy", F.lit(1))
+    first = first_wins(live.where("command <> ''"), ["command"], ["row_number"]).unionByName(blank)
     met = first.join(numbered.where("copy = 1").drop("row_number", "gone", "copy").withColumn("has", F.lit(True)), "cat", "left")
     reason = F.when(F.col("command") == "", "missing_device_command_id").when(F.col("copy") > 1, "duplicate_device_command_id").when(F.col("has").isNull(), "dev_cat_id_not_found_or_deleted")
     judged = met.withColumn("reason", reason)
@@ -54,7 +69,7 @@ def convert_commands(commands: DataFrame, categories: DataFrame, include_deleted
     report = (
         one(own, F.count(F.lit(1)).alias("command_rows"), F.count_if("gone").alias("deleted_commands"))
         .join(one(cats, F.count_if("gone").alias("deleted_categories")))
-        .join(one(judged, F.count_if(F.col("reason").isNull()).alias("records"), F.count_if(F.col("reason").isNotNull()).alias("rejected"), F.count_if(F.col("reason") == "dev_cat_id_not_found_or_deleted").alias("orphans"), F.count_if(F.col("reason").isNull() & (F.col("command_code") == "")).alias("code_fallbacks"), F.array_sort(F.collect_set(F.when(F.col("reason") == "duplicate_device_command_id", F.col("command")))).alias("duplicate_ids")))
+        .join(one(judged, F.count_if(F.col("reason").isNull()).alias("records"), F.count_if(F.col("reason").isNotNull()).alias("rejected"), F.count_if(F.col("reason") == "dev_cat_id_not_found_or_deleted").alias("orphans"), F.count_if(F.col("reason").isNull() & (F.col("command_code") == "")).alias("code_fallbacks"), F.countDistinct(F.when(F.col("reason") == "duplicate_device_command_id", F.col("command"))).alias("n_duplicate_ids")))
     )
     return records.orderBy("设备类别主键", "设备指令主键"), rejects, report
 
@@ -203,8 +218,7 @@ def locate_rows(record: Column) -> Column:
     """The rows of a JSON record: the list itself, else the first list among its row fields."""
     from caselattice.functions.jsonparse import typed_rows
 
-    fields = ("rows", "pred_rows", schema.ROW_LIST_KEYS[0])
-    return F.coalesce(typed_rows(record), *[typed_rows(F.get_json_object(record, f"$.{name}")) for name in fields], F.array().cast("array<map<string,struct<kind:string,value:string>>>"))
+    return F.coalesce(typed_rows(record), *[typed_rows(F.get_json_object(record, f"$.{name}")) for name in schema.RECORD_LIST_KEYS], F.array().cast("array<map<string,struct<kind:string,value:string>>>"))
 
 
 def measured_lengths(chats: DataFrame, tokens, messages: str = "messages") -> DataFrame:

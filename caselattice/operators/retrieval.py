@@ -6,12 +6,15 @@ so Catalyst limits each group before the shuffle.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from caselattice import schema
 from caselattice.functions import similarity as sim
 from caselattice.functions import text as tx
+from caselattice.session import stash
 
 #: Queries and pools up to this many rows are broadcast; larger ones are joined by a shuffle.
 BROADCAST_ROWS = 100_000
@@ -40,21 +43,29 @@ def term_stats(post: DataFrame, stats: DataFrame) -> DataFrame:
     return df.crossJoin(F.broadcast(stats)).select("term", "df", F.log((F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5) + 1).alias("idf"))
 
 
+#: Stands for a document itself among its terms; no tokenizer gives it.
+_SELF = ""
+
+
 def bm25(queries: DataFrame, query: str, query_tokens: Column, docs: DataFrame, doc: str, doc_tokens: Column, *, distinct_terms: bool, k1: float = 1.5, b: float = 0.75, least_avgdl: float = 0.0) -> DataFrame:
     """(query, doc, score) of documents that share a term with a query.
 
-    ``distinct_terms`` counts a query's term once, else as often as it stands there. Only the queries' terms are kept of
-    the postings before they are counted, so frequent words of the corpus that no query has cost nothing.
+    ``distinct_terms`` counts a query's term once, else as often as it stands there. Documents are tokenised once: only the
+    queries' terms are kept of the postings, with one entry for each document, and written; statistics and scores are
+    taken from there. So frequent words of the corpus that no query has cost nothing.
     """
     asked = queries.select(F.col(query).alias("query"), F.explode(F.array_distinct(query_tokens) if distinct_terms else query_tokens).alias("term"))
-    asked = asked.groupBy("query", "term").agg(F.count(F.lit(1)).alias("qtf"))
-    terms = small(asked.select("term").distinct())
-    spread = docs.select(F.col(doc).alias("doc"), doc_tokens.alias("tokens")).select("doc", F.size("tokens").alias("doc_len"), F.explode("tokens").alias("term"))
-    post = spread.join(terms, "term", "left_semi").groupBy("doc", "term").agg(F.count(F.lit(1)).alias("tf"), F.first("doc_len").alias("doc_len"))
-    stats = corpus_stats(docs, doc_tokens)
+    asked = stash(asked.groupBy("query", "term").agg(F.count(F.lit(1)).alias("qtf")), "bm25-queries")
+    terms = small(asked.select("term").distinct().union(queries.sparkSession.createDataFrame([(_SELF,)], "term string")))
+    listed = docs.select(F.col(doc).alias("doc"), doc_tokens.alias("tokens"))
+    spread = listed.select("doc", F.size("tokens").alias("doc_len"), F.explode(F.concat("tokens", F.array(F.lit(_SELF)))).alias("term"))
+    post = stash(spread.join(terms, "term", "left_semi").groupBy("doc", "term").agg(F.count(F.lit(1)).alias("tf"), F.first("doc_len").alias("doc_len")), "bm25-postings")
+    own, post = post.where(F.col("term") == _SELF), post.where(F.col("term") != _SELF)
+    # documents without a key, or with a repeated one, are one entry with that many copies
+    stats = own.agg(F.coalesce(F.sum("tf"), F.lit(0)).alias("n_docs"), F.coalesce(F.sum(F.col("tf") * F.col("doc_len")) / F.sum("tf"), F.lit(0.0)).alias("avgdl"))
     idf = term_stats(post, stats)
     part = F.col("qtf") * F.col("idf") * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("doc_len") / F.greatest(F.col("avgdl"), F.lit(least_avgdl))))
-    met = small(asked).join(post, "term").join(idf, "term").crossJoin(F.broadcast(stats.select("avgdl")))
+    met = small(asked).join(post, "term").join(idf, "term").crossJoin(F.broadcast(stats.select("avgdl")))  # one row
     return met.groupBy("query", "doc").agg(F.sum(part).alias("score"))
 
 
@@ -83,16 +94,38 @@ def fuse(pool: DataFrame, *, base: int = 60) -> DataFrame:
     return ranked.withColumn("final_rank", F.row_number().over(Window.partitionBy("query").orderBy(F.desc("rrf"), "bm25_rank")))
 
 
-def cross_case(scores: DataFrame, *, base: int = 1, k: int = 5) -> DataFrame:
+def cross_case(scores: DataFrame, *, base: int = 1, k: int = 5, dense: bool = True) -> DataFrame:
     """Fusion over all other cases of (query, doc, lexical, dense, defines): cases that define a wanted id come first."""
     w = Window.partitionBy("query")
-    ranked = scores.where("query <> doc").withColumns(
-        {"lexical_rank": F.row_number().over(w.orderBy(F.desc("lexical"), "doc")), "dense_rank": F.row_number().over(w.orderBy(F.desc("dense"), "doc"))}
-    )
-    ranked = ranked.withColumn("rrf", 1 / (base + F.col("lexical_rank")) + 1 / (base + F.col("dense_rank")))
+    ranked = scores.where("query <> doc").withColumn("lexical_rank", F.row_number().over(w.orderBy(F.desc("lexical"), "doc")))
+    score = 1 / (base + F.col("lexical_rank"))
+    if dense:
+        ranked = ranked.withColumn("dense_rank", F.row_number().over(w.orderBy(F.desc("dense"), "doc")))
+        score = score + 1 / (base + F.col("dense_rank"))
+    ranked = ranked.withColumn("rrf", score)
     return ranked.withColumn("rank", F.row_number().over(w.orderBy(F.desc("defines"), F.desc("rrf"), "doc"))).where(F.col("rank") <= k)
 
 
+def cross_case_search(cases: DataFrame, asked: DataFrame, *, tokens: Callable[[Column], Column] = tx.search_tokens, vectors: DataFrame | None = None, k: int = 5, shown: int = 6000) -> DataFrame:
+    """(query, doc, lexical, dense, defines, rank, ao) of the other cases for each stated query.
+
+    ``cases`` has id, search_text, defined_ids and ao_text; ``asked`` has id, query and targets; ``vectors`` id and vector of
+    both, without which only words count. Every other case is ranked, those without a common word by their identifier;
+    cases that define a target come first. ``ao`` is cut to ``shown`` characters for display, after the search.
+    """
+    queries = asked.select(F.col("id").alias("query"), "query", "targets").toDF("query", "said", "targets")
+    hits = bm25(queries, "query", tokens(F.col("said")), cases, "id", tokens(F.col("search_text")), distinct_terms=True, least_avgdl=1.0)
+    docs = cases.select(F.col("id").alias("doc"), "defined_ids")
+    each = docs.crossJoin(small(queries.select("query", "targets"))).where("doc <> query")
+    met = each.join(hits, ["query", "doc"], "left").select("query", "doc", F.round(F.coalesce("score", F.lit(0.0)), 9).alias("lexical"), F.arrays_overlap("defined_ids", "targets").alias("defines"))
+    if vectors is None:
+        met = met.withColumn("dense", F.lit(None).cast("double"))
+    else:
+        met = rerank(met, vectors.select(F.col("id").alias("doc"), F.col("vector").alias("dv")), vectors.select(F.col("id").alias("query"), F.col("vector").alias("qv")))
+    ranked = cross_case(met, k=k, dense=vectors is not None)
+    return ranked.join(cases.select(F.col("id").alias("doc"), F.left("ao_text", F.lit(shown)).alias("ao")), "doc")
+
+
 def replacement_decision(known: Column, identifier: Column, candidates: Column, *, mode: str = "replace", threshold: float = 0.68, margin: float = 0.05) -> Column:
     """One of twelve outcomes from an array of candidates (primary_key, command_code, dense, dense_rank, margin)."""
     wanted = tx.clean(identifier)
@@ -144,26 +177,66 @@ def context_queries(rows: DataFrame, context: int = 3, every_step: bool = False)
     return joined.where("searched").select("id", "row_index", F.array_join(F.array_distinct(F.concat("before", "own")), "。").alias("query"))
 
 
+def run_applied(cases: DataFrame, devices: DataFrame, search: Callable[[DataFrame], DataFrame], *, mode: str = "replace", threshold: float = 0.68, margin: float = 0.05, every_step: bool = False, key: str = "id") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(cases, audits, report): the whole retrieval run over case tables.
+
+    Searched rows become context queries; ``search`` takes (query, text), the row's name and its query, and gives (query,
+    final_rank, primary_key, command_code, device_type, dense, dense_rank, margin); each row gets a decision, replaced rows
+    the top candidate's command and type, and every searched row a note with its query, candidates and decision. ``devices`` has the known
+    primary keys and command codes. Mode ``annotate`` never replaces. ``cases`` has rows as an array of maps.
+    """
+    rows = long_rows(cases, key)
+    asked = context_queries(rows, every_step=every_step).withColumn("name", F.concat("id", F.lit("#"), F.col("row_index").cast("string")))
+    codes = devices.select(tx.clean("primary_key").alias("primary_key"), tx.clean("command_code").alias("command_code"))
+    wanted = membership(rows.join(asked.select("id", "row_index", "name", "query"), ["id", "row_index"]).withColumn("identifier", tx.clean(F.element_at("row", F.lit(COMMAND)))), F.col("identifier"), codes, F.array(F.nullif("primary_key", F.lit("")), F.nullif("command_code", F.lit(""))))
+    fields = ("primary_key", "command_code", "device_type", "dense", "dense_rank", "margin")
+    listed = search(asked.select(F.col("name").alias("query"), F.col("query").alias("text")))
+    found = listed.groupBy(F.col("query").alias("name")).agg(F.array_sort(F.collect_list(F.struct("final_rank", *fields))).alias("candidates"))
+    met = stash(wanted.join(found, "name", "left").withColumn("known", F.coalesce("found", F.lit(False))), "applied-rows")
+    audits = met.select(
+        "id", "row_index", "query", "identifier", "known",
+        replacement_decision(F.col("known"), F.col("identifier"), F.col("candidates"), mode=mode, threshold=threshold, margin=margin).alias("decision"),
+        F.element_at("row", F.lit(COMMAND)).alias("old_code"), F.element_at("row", F.lit(DEVICE_TYPE)).alias("old_type"), F.coalesce("candidates", F.array().cast(met.schema["candidates"].dataType)).alias("candidates"),
+    )
+    replaced = F.col("decision") == "replaced_unknown_identifier"
+    top = F.get("candidates", F.lit(0))
+    audits = audits.withColumns({"new_code": F.when(replaced, top["command_code"]).otherwise(F.col("old_code")), "new_type": F.when(replaced, top["device_type"]).otherwise(F.col("old_type"))})
+    report = audits.groupBy("decision").agg(F.count(F.lit(1)).alias("n"))
+    return apply_decisions(cases, audits, key), audits, report
+
+
+#: The fields that a replacement writes, and the one that notes a row's decision.
+COMMAND, DEVICE_TYPE, NOTE = "设备指令号", "设备类型", "_device_retrieval"
+
+
 def apply_decisions(cases: DataFrame, audits: DataFrame, key: str = "id") -> DataFrame:
-    """Writes the top candidate's command and type into replaced rows; units and parameters stay as they were.
+    """Writes the top candidate's command and type into replaced rows and a note, the audit as JSON, into each audited
+    row; units and parameters stay as they were.
 
     ``audits`` has id, row_index, decision and candidates; a case's audits are few and are gathered by its id.
     """
-    replaced = audits.where("decision = 'replaced_unknown_identifier'").select(
-        "id", F.struct(F.col("row_index").alias("i"), F.get("candidates", F.lit(0))["command_code"].alias("code"), F.get("candidates", F.lit(0))["device_type"].alias("kind")).alias("r")
-    )
-    gathered = replaced.groupBy(F.col("id").alias("__id")).agg(F.collect_list("r").alias("__edits"))
+    top, replaced = F.get("candidates", F.lit(0)), F.col("decision") == "replaced_unknown_identifier"
+    note = F.to_json(F.struct(*[c for c in ("query", "old_type", "old_code", "decision", "candidates") if c in audits.columns], replaced.alias("replaced")))
+    edit = F.struct(F.col("row_index").alias("i"), F.when(replaced, top["command_code"]).alias("code"), F.when(replaced, top["device_type"]).alias("kind"), note.alias("note"))
+    gathered = audits.groupBy(F.col("id").alias("__id")).agg(F.collect_list(edit).alias("__edits"))
     met = cases.join(gathered, F.col(key) == F.col("__id"), "left")
 
     def edited(row: Column, i: Column) -> Column:
-        own = F.get(F.filter(F.coalesce("__edits", F.array().cast("array<struct<i:int,code:string,kind:string>>")), lambda e: e["i"] == i), F.lit(0))
-        kept = F.map_filter(row, lambda k, _: ~k.isin("设备指令号", "设备类型"))
-        return F.when(own.isNotNull(), F.map_concat(kept, F.create_map(F.lit("设备指令号"), own["code"], F.lit("设备类型"), own["kind"]))).otherwise(row)
+        own = F.get(F.filter(F.coalesce("__edits", F.array().cast("array<struct<i:int,code:string,kind:string,note:string>>")), lambda e: e["i"] == i), F.lit(0))
+        noted = lambda drop: F.map_filter(row, lambda k, _: ~k.isin(*drop))
+        changed = F.map_concat(noted((COMMAND, DEVICE_TYPE, NOTE)), F.create_map(F.lit(COMMAND), own["code"], F.lit(DEVICE_TYPE), own["kind"], F.lit(NOTE), own["note"]))
+        return F.when(own.isNull(), row).when(own["code"].isNotNull(), changed).otherwise(F.map_concat(noted((NOTE,)), F.create_map(F.lit(NOTE), own["note"])))
 
     return met.withColumn("rows", F.transform("rows", edited)).drop("__id", "__edits")
 
 
-def retrieval_context(found: DataFrame) -> DataFrame:
-    """(query, context): the text that presents each query's results, in rank order."""
+#: What stands for a search without result.
+NO_RESULT = "[RETRIEVAL_RESULTS]\n未检索到可用的其他测试用例。"
+
+
+def retrieval_context(found: DataFrame, asked: DataFrame | None = None) -> DataFrame:
+    """(query, context): the text that presents each query's results, in rank order; with ``asked`` (query) also of the
+    queries that found nothing."""
     block = F.concat(F.lit("--- 参考用例 "), F.col("rank").cast("string"), F.lit(": "), F.col("doc").cast("string"), F.lit(" (score="), F.col("score").cast("string"), F.lit(") ---\nAO:\n"), F.col("ao"), F.lit("\n结构化表格:\n"), F.to_json("table"))
-    return found.groupBy("query").agg(F.concat(F.lit("[RETRIEVAL_RESULTS]\n"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", block.alias("b")))), lambda x: x["b"]), "\n")).alias("context"))
+    made = found.groupBy("query").agg(F.concat(F.lit("[RETRIEVAL_RESULTS]\n"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", block.alias("b")))), lambda x: x["b"]), "\n")).alias("context"))
+    return made if asked is None else asked.select("query").distinct().join(made, "query", "left").withColumn("context", F.coalesce("context", F.lit(NO_RESULT)))

@@ -32,10 +32,20 @@ NUMERIC_FIELDS = ("左值", "右值", "判据范围")
 BOOLEAN_FIELDS = ("是否同时发送", "是否使用设备")
 COMBINE_FIELD = "多判据组合条件"
 ROW_LIST_KEYS = ("步骤列表", "rows", "steps")
+JUDGE_LIST_KEYS = ("步骤列表", "rows", "steps", "table")
+RECORD_LIST_KEYS = ("rows", "pred_rows", "步骤列表")
+#: An identifier behind @, the operators that get spaces, and texts that say nothing.
+REFERENCE_PATTERN = r"@[A-Za-z0-9_\u4e00-\u9fff]+"
+OPERATOR_PATTERN = r"[*+\-/]"
+NOTHING = ("", "null", "None", "[]")
+COMBINE_WORDS = {"全部成功": "all", "任一成功": "any"}
 # End of fixed values.
 
 EXECUTION = LEVEL_ORDER[-1]
 
+#: What kind of value a field holds. References come before numbers: a field that is in both is a reference.
+FIELD_KINDS = dict.fromkeys(NUMERIC_FIELDS, "number") | dict.fromkeys(BOOLEAN_FIELDS, "flag") | dict.fromkeys(REFERENCE_FIELDS, "reference") | {COMBINE_FIELD: "combination"}
+
 ROW = T.MapType(T.StringType(), T.StringType())
 CASES = T.StructType([T.StructField("id", T.StringType()), T.StructField("source", T.StringType()), T.StructField("content", T.StringType()), T.StructField("rows", T.ArrayType(ROW))])
 MESSAGES = T.ArrayType(T.StructType([T.StructField("role", T.StringType()), T.StructField("content", T.StringType())]))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import csv
 import io
-import json
+import itertools
 import re
 import zipfile
 from collections.abc import Iterator
@@ -19,17 +19,16 @@ from caselattice.functions import text as tx
 
 
 def json_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(file, line_number, value) of every line; numbers count within a file, so a file is read by one task."""
-    schema = "file string, line_number long, value string"
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for name, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                lines = content.decode("utf-8-sig").split("\n")
-                lines = lines[:-1] if lines and not lines[-1] else lines
-                yield pa.RecordBatch.from_arrays([pa.array([name] * len(lines), pa.string()), pa.array(range(1, len(lines) + 1), pa.int64()), pa.array([x.rstrip("\r") for x in lines], pa.string())], names=["file", "line_number", "value"])
-
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, schema)
+    """(file, line_number, value) of every line. Files are read in splits of any number: a line's number is its place in
+    its split and the lines counted in the splits before, so no task holds a file."""
+    split = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")]
+    read = spark.read.option("lineSep", "\n").text(path).select(*split, F.monotonically_increasing_id().alias("place"), "value")
+    blocks = read.groupBy("file", "block").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n"))
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = blocks.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0))).drop("n")
+    number = F.col("before") + F.col("place") - F.col("first") + 1
+    bare = F.regexp_replace("value", r"\r+\z", "")
+    return read.join(starts, ["file", "block"]).select("file", number.alias("line_number"), F.when(number == 1, F.regexp_replace(bare, "^\ufeff", "")).otherwise(bare).alias("value"))
 
 
 def strict_json_lines(spark: SparkSession, path: str, schema: T.StructType, key: str = "id") -> DataFrame:
@@ -38,7 +37,8 @@ def strict_json_lines(spark: SparkSession, path: str, schema: T.StructType, key:
     parsed = lines.withColumns({"v": F.try_parse_json("value"), "row": F.from_json("value", schema)})
     place = F.concat("file", F.lit(":"), F.col("line_number").cast("string"))
     fail = lambda what: F.raise_error(F.concat(place, F.lit(f": {what}"))).cast("boolean")
-    again = F.count(F.lit(1)).over(Window.partitionBy("row." + key)) > 1
+    same = Window.partitionBy("row." + key).orderBy("file", "line_number").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    again = F.count(F.lit(1)).over(same) > 1
     checked = parsed.withColumn(
         "ok",
         F.when(F.col("v").isNull(), fail("not JSON")).when(~F.schema_of_variant("v").startswith("OBJECT"), fail("not an object"))
@@ -79,29 +79,60 @@ def sniff(head: bytes) -> tuple[str, str]:
         return encoding, ","
 
 
-def sniffed_csv(spark: SparkSession, path: str, required: tuple[str, ...] = ()) -> tuple[DataFrame, str, str]:
-    """(rows, encoding, delimiter): all columns text, clean headers, blank rows left out, row_number from 2.
+def file_head(spark: SparkSession, path: str, size: int = 1 << 16) -> bytes:
+    """The first bytes of a file of any store that Hadoop knows, or of the first file of a folder."""
+    conf, at = spark._jsc.hadoopConfiguration(), spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(conf)
+    if fs.getFileStatus(at).isDirectory():
+        at = min((s.getPath() for s in fs.listStatus(at) if s.isFile() and not s.getPath().getName().startswith(("_", "."))), key=lambda p: p.getName())
+    stream = fs.open(at)
+    try:
+        return bytes(stream.readNBytes(size))
+    finally:
+        stream.close()
 
-    Quoted cells may hold line breaks. The first 64 KiB decide encoding and delimiter.
-    """
-    head = bytes(spark.read.format("binaryFile").load(path).select(F.substring("content", 1, 1 << 16)).first()[0])
-    encoding, delimiter = sniff(head)
+
+def csv_names(head: bytes, encoding: str, delimiter: str) -> list[str]:
+    return [h.strip().lstrip("\ufeff") for h in next(csv.reader(io.StringIO(head.decode(encoding, "ignore")), delimiter=delimiter), [])]
+
+
+def csv_cells(contents: DataFrame, encoding: str, delimiter: str, most: int = 10_000) -> DataFrame:
+    """(row_number, cells) of CSV files given as (path, content), given out ``most`` rows at a time; a file is one task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for content in batch.column(0).to_pylist():
-                rows = csv.reader(io.StringIO(content.decode(encoding).replace("\0", ""), newline=""), delimiter=delimiter)
-                names = [h.strip().lstrip("﻿") for h in next(rows, [])]
-                kept = [(i, dict(zip(names, r, strict=False))) for i, r in enumerate(rows, 2) if any(x.strip() for x in r)]
-                yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in kept], pa.int64()), pa.array([list(r.items()) for _, r in kept], pa.map_(pa.string(), pa.string()))], names=["row_number", "cells"])
+            for content in batch.column(1):
+                lines = io.TextIOWrapper(io.BytesIO(content.as_py().replace(b"\0", b"")), encoding, newline="")
+                rows = csv.reader(lines, delimiter=delimiter)
+                names = [h.strip().lstrip("\ufeff") for h in next(rows, [])]
+                numbered = ((i, list(dict(zip(names, r, strict=False)).items())) for i, r in enumerate(rows, 2) if any(x.strip() for x in r))
+                while some := list(itertools.islice(numbered, most)):
+                    yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in some], pa.int64()), pa.array([r for _, r in some], pa.map_(pa.string(), pa.string()))], names=["row_number", "cells"])
+
+    return contents.select("path", "content").mapInArrow(run, "row_number long, cells map<string,string>")
 
-    names = [h.strip().lstrip("﻿") for h in next(csv.reader(io.StringIO(head.decode(encoding, "ignore")), delimiter=delimiter), [])]
+
+def sniffed_csv(spark: SparkSession, path: str, required: tuple[str, ...] = ()) -> tuple[DataFrame, str, str]:
+    """(rows, encoding, delimiter): all columns text, clean headers, blank rows left out, row_number from 2.
+
+    Quoted cells may hold line breaks. The first 64 KiB decide encoding and delimiter, and only these are read for it.
+    """
+    head = file_head(spark, path)
+    encoding, delimiter = sniff(head)
+    names = csv_names(head, encoding, delimiter)
     if lacking := sorted(set(required) - set(names)):
         raise ValueError(f"{path}: headers are missing: {lacking}")
-    rows = spark.read.format("binaryFile").load(path).select("content").mapInArrow(run, "row_number long, cells map<string,string>")
+    rows = csv_cells(spark.read.format("binaryFile").load(path), encoding, delimiter)
     return rows.select("row_number", *[F.element_at("cells", F.lit(n)).alias(n) for n in dict.fromkeys(names)]), encoding, delimiter
 
 
+def source_facts(spark: SparkSession, path: str) -> dict:
+    """What a report says of an input file: path, encoding, delimiter, bytes, SHA-256."""
+    encoding, delimiter = sniff(file_head(spark, path))
+    known = file_hashes(spark, path).first()
+    return {"path": path, "encoding": encoding, "delimiter": delimiter, "bytes": known["bytes"], "sha256": known["sha256"]}
+
+
 #: Names of the id and instruction columns, in the order of preference; image suffixes.
 QUERY_COLUMNS = ("ao_instruction", "instruction", "query", "question", "AO指令", "指令")
 ID_COLUMNS = ("ao_id", "id", "q_id", "case_id", "AO编号", "编号")
@@ -152,15 +183,19 @@ def _sheet_rows(content: bytes, skip: int) -> list[list[str | None]]:
 
 
 def workbook_rows(spark: SparkSession, path: str, skip: int = 1) -> DataFrame:
-    """(file, row_number, cells) of each workbook's first sheet, without ``skip`` header rows."""
+    return sheet_rows(spark.read.format("binaryFile").load(path), skip)
+
+
+def sheet_rows(contents: DataFrame, skip: int = 1) -> DataFrame:
+    """(file, row_number, cells) of the first sheet of workbooks given as (path, content), without ``skip`` header rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for name, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                rows = _sheet_rows(content, skip)
-                yield pa.RecordBatch.from_arrays([pa.array([name] * len(rows), pa.string()), pa.array(range(len(rows)), pa.int64()), pa.array(rows, pa.list_(pa.string()))], names=["file", "row_number", "cells"])
+            for name, content in zip(batch.column(0), batch.column(1), strict=True):
+                rows = _sheet_rows(content.as_py(), skip)
+                yield pa.RecordBatch.from_arrays([pa.array([name.as_py()] * len(rows), pa.string()), pa.array(range(len(rows)), pa.int64()), pa.array(rows, pa.list_(pa.string()))], names=["file", "row_number", "cells"])
 
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, "file string, row_number long, cells array<string>")
+    return contents.select("path", "content").mapInArrow(run, "file string, row_number long, cells array<string>")
 
 
 def nested_records(rows: DataFrame, *, is_major, major: dict[int, str], minor: dict[int, str], minors: str = "steps") -> DataFrame:
@@ -183,8 +218,12 @@ def match_path(path: str, patterns) -> str | None:
     return next((p for p in patterns if p.startswith("*/") and path.endswith(p[1:])), None)
 
 
-def xml_records(spark: SparkSession, path: str, *, triggers, attributes: dict[str, dict[str, str]], texts: dict[str, str], clean=None) -> DataFrame:
-    """(file, record_number, record) of XML files: attributes are taken where an element opens, texts where it closes,
+def xml_records(spark: SparkSession, path: str, **options) -> DataFrame:
+    return xml_file_records(spark.read.format("binaryFile").load(path), **options)
+
+
+def xml_file_records(contents: DataFrame, *, triggers, attributes: dict[str, dict[str, str]], texts: dict[str, str], clean=None) -> DataFrame:
+    """(file, record_number, record) of XML files given as (path, content): attributes are taken where an element opens, texts where it closes,
     and the record so far is given out where a trigger closes; what came before carries over to the next."""
     tidy = clean or plain_text
 
@@ -208,7 +247,7 @@ def xml_records(spark: SparkSession, path: str, *, triggers, attributes: dict[st
                     trail.pop()
                 yield pa.RecordBatch.from_arrays([pa.array([name] * len(records), pa.string()), pa.array(range(len(records)), pa.int64()), pa.array([list(r.items()) for r in records], pa.map_(pa.string(), pa.string()))], names=["file", "record_number", "record"])
 
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, "file string, record_number long, record map<string,string>")
+    return contents.select("path", "content").mapInArrow(run, "file string, record_number long, record map<string,string>")
 
 
 def plain_text(raw: str | None) -> str:
@@ -247,8 +286,10 @@ def file_hashes(spark: SparkSession, path: str) -> DataFrame:
 
 
 def fingerprint(df: DataFrame) -> DataFrame:
-    """Rows and an order-free hash of a table, to hold an index against the corpus it was made of."""
-    return df.agg(F.count(F.lit(1)).alias("n_rows"), F.coalesce(F.bit_xor(F.xxhash64(*df.columns)), F.lit(0)).alias("hash"))
+    """Rows and an order-free hash of a table, to hold an index against the corpus it was made of. Hashes are added, so
+    repeated rows count, too."""
+    total = F.coalesce(F.sum(F.xxhash64(*df.columns).cast("decimal(20,0)")), F.lit(0))
+    return df.agg(F.count(F.lit(1)).alias("n_rows"), F.pmod(total, F.lit((1 << 61) - 1)).cast("long").alias("hash"))
 
 
 _READ: dict[str, tuple[tuple, DataFrame]] = {}

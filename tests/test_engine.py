@@ -43,7 +43,8 @@ def test_text_columns(spark):
     assert values(spark, tx.plain_html("x"), ["&lt;b&gt;x&lt;/b&gt;<br>y<p>z</p>\n\n<img alt='' src='/a.png'>", "a&#xa0;b​c"]) == ["x\ny\nz\n[IMAGE: /a.png]", "abc"]
     assert values(spark, tx.column_name(F.col("x").cast("int")), ["1", "26", "27", "52", "702", "703", "18278"]) == ["A", "Z", "AA", "AZ", "ZZ", "AAA", "ZZZ"]
     assert values(spark, tx.column_number("x"), ["A", "AA", "ZZ", "AAA"]) == [1, 27, 702, 703]
-    assert all(sinks.column_letters(n) == v for n, v in ((1, "A"), (703, "AAA")))
+    names = list(itertools.islice(sinks.column_names(), 703))
+    assert [names[n - 1] for n in (1, 26, 27, 702, 703)] == ["A", "Z", "AA", "ZZ", "AAA"]
 
 
 def test_field_forms_agree_with_plain_ones(spark):
@@ -128,19 +129,26 @@ def test_table_scores(spark):
 
 def test_json_readers(spark):
     row = '{"步骤层级":"步骤"}'
-    assert jsonparse.read_evaluation(f"[{row}]") == ([{"步骤层级": "步骤"}], True, True, "strict_json_array")
-    assert jsonparse.read_evaluation('{"rows":[]}')[1:] == (True, False, "object_wrapper:rows")
-    assert jsonparse.read_evaluation(f"see [1] then [{row}]")[:2] == ([], False)
-    assert jsonparse.read_evaluation(f"<think>[1]</think>```json\n[{row}]\n```")[3] == "recovered_array"
-    assert jsonparse.read_evaluation("none")[3] == "failed"
-    assert jsonparse.read_judge(f'x {{"table":[{row},3]}}') == [{"步骤层级": "步骤"}]
-    assert jsonparse.read_server(f"[1] [{row}]") == [{"步骤层级": "步骤"}] and jsonparse.read_server("") == []
+    found = lambda r: (r.rows, r.success, r.strict, r.mode)
+    assert found(jsonparse.read_evaluation(f"[{row}]")) == ([{"步骤层级": "步骤"}], True, True, "strict_json_array")
+    assert found(jsonparse.read_evaluation('{"rows":[]}'))[1:] == (True, False, "object_wrapper:rows")
+    stray = jsonparse.read_evaluation(f"see [1] then [{row}]")
+    assert found(stray) == ([], False, False, "recovered_array") and stray.errors == ["[0]:not_an_object"]
+    assert jsonparse.read_evaluation(f"<think>[1]</think>```json\n[{row}]\n```").mode == "recovered_array"
+    assert found(jsonparse.read_evaluation("none")) == ([], False, False, "failed")
+    assert jsonparse.read_judge(f'x {{"table":[{row},3]}}').rows == [{"步骤层级": "步骤"}]
+    assert jsonparse.read_judge(f'{{"步骤列表":null,"rows":[{row}]}}').rows == [{"步骤层级": "步骤"}]
+    assert jsonparse.read_server(f"[1] [{row}]").rows == [{"步骤层级": "步骤"}] and jsonparse.read_server("").rows == [] and not jsonparse.read_server("x").success
     assert jsonparse.first_object('[1] {"a":2}') == {"a": 2}
     reply = '{"choices":[{"message":{"content":"hi"}}]}'
     listed = '{"choices":[{"message":{"content":[{"type":"text","text":"a"},{"type":"text","text":"b"}]}}]}'
     assert values(spark, jsonparse.response_text("x"), [reply, listed, '{"text":"t"}', "raw", None]) == ["hi", "ab", "t", "raw", ""]
     raw = spark.createDataFrame([(1, f"[{row}]"), (2, None)], "id int, raw string")
-    assert [(r.parse_success, len(r.rows)) for r in jsonparse.recover_rows(raw, "raw").orderBy("id").collect()] == [(True, 1), (False, 0)]
+    assert [(r.parse_success, len(r.rows), r.schema_valid) for r in jsonparse.recover_rows(raw, "raw").orderBy("id").collect()] == [(True, 1, False), (False, 0, False)]
+    errors = {r.id: r.errors for r in jsonparse.recover_rows(raw, "raw").collect()}
+    assert errors[2] == ["no_json_list"] and "[0].说明:missing" in errors[1]
+    full = json.dumps([dict.fromkeys(schema.LEVEL_FIELDS["用例"], "x") | {"步骤层级": "用例"}], ensure_ascii=False)
+    assert jsonparse.recover_rows(spark.createDataFrame([(1, full)], "id int, raw string"), "raw").first().schema_valid
 
 
 def test_row_and_chat_checks(spark):
@@ -192,7 +200,47 @@ def test_context_and_apply(spark):
     assert got == {3: "自检。上电。正常。电源", 6: "断电。正常"}
     audits = spark.createDataFrame([("c", 6, "replaced_unknown_identifier", [Row(command_code="N", device_type="T")]), ("c", 3, "no_candidate", [])], "id string, row_index int, decision string, candidates array<struct<command_code:string,device_type:string>>")
     new = retrieval.apply_decisions(cases, audits).first().rows
-    assert new[6]["设备指令号"] == "N" and new[6]["设备类型"] == "T" and new[:6] == rows[:6]
+    assert new[6]["设备指令号"] == "N" and new[6]["设备类型"] == "T" and [r for i, r in enumerate(new) if i not in (3, 6)] == [r for i, r in enumerate(rows) if i not in (3, 6)]
+    assert {k: v for k, v in new[3].items() if k != retrieval.NOTE} == rows[3] and json.loads(new[3][retrieval.NOTE])["decision"] == "no_candidate"
+    assert json.loads(new[6][retrieval.NOTE])["replaced"] and not json.loads(new[3][retrieval.NOTE])["replaced"]
+
+
+def test_the_whole_applied_run(spark):
+    step = lambda level, **f: {"步骤层级": level} | f
+    rows = [step("步骤", 操作内容="上电"), step("执行步骤", 设备类型="旧", 设备指令号="bad", 设备单元号="u"), step("执行步骤", 设备指令号="C2"), step("执行步骤")]
+    cases = spark.createDataFrame([("c", rows)], "id string, rows array<map<string,string>>")
+    devices = spark.createDataFrame([("P1", "C1"), ("P2", "C2")], "primary_key string, command_code string")
+
+    def search(asked):
+        hit = asked.where("text like '%上电%'")
+        first = hit.selectExpr("query", "1 AS final_rank", "'P1' AS primary_key", "'C1' AS command_code", "'电源' AS device_type", "0.9D AS dense", "1 AS dense_rank", "0.2D AS margin")
+        return first.unionByName(hit.selectExpr("query", "2 AS final_rank", "'P2' AS primary_key", "'C2' AS command_code", "'阀' AS device_type", "0.7D AS dense", "2 AS dense_rank", "CAST(NULL AS DOUBLE) AS margin"))
+
+    done, audits, report = retrieval.run_applied(cases, devices, search)
+    got = {r.row_index: r for r in audits.collect()}
+    assert {i: r.decision for i, r in got.items()} == {1: "replaced_unknown_identifier", 2: "review_known_identifier_not_top1"}
+    assert (got[1].old_code, got[1].new_code, got[1].new_type, got[1].known) == ("bad", "C1", "电源", False) and got[2].new_code == "C2" and len(got[2].candidates) == 2
+    new = done.first().rows
+    assert (new[1]["设备指令号"], new[1]["设备类型"], new[1]["设备单元号"]) == ("C1", "电源", "u") and new[2]["设备指令号"] == "C2" and new[0] == rows[0] and new[3] == rows[3]
+    note = json.loads(new[1][retrieval.NOTE])
+    assert note["replaced"] and note["query"] == "上电。旧。u" and note["candidates"][0]["command_code"] == "C1"
+    assert {r.decision: r.n for r in report.collect()} == {"replaced_unknown_identifier": 1, "review_known_identifier_not_top1": 1}
+    kept, looked, _ = retrieval.run_applied(cases, devices, search, mode="annotate")
+    assert {r.row_index: r.decision for r in looked.collect()}[1] == "review_unknown_identifier" and kept.first().rows[1]["设备指令号"] == "bad"
+    nothing, none, _ = retrieval.run_applied(cases, devices, lambda asked: search(asked).limit(0))
+    assert {r.decision for r in none.collect()} == {"no_candidate", "review_known_identifier_no_candidate"} and nothing.first().rows[1]["设备指令号"] == "bad"
+
+
+def test_search_over_cases(spark):
+    cases = spark.createDataFrame([("1", "记录 alpha beta", ["V1"], "x" * 7000), ("2", "alpha alpha", [], "two"), ("3", "gamma", [], "three"), ("4", "delta", ["V1"], "four")], "id string, search_text string, defined_ids array<string>, ao_text string")
+    asked = spark.createDataFrame([("2", "alpha", ["V1"]), ("3", "nothing like it", [])], "id string, query string, targets array<string>")
+    got = sorted((r.query, r.rank, r.doc, r.lexical > 0, len(r.ao)) for r in retrieval.cross_case_search(cases, asked).collect())
+    assert got == [("2", 1, "1", True, 6000), ("2", 2, "4", False, 4), ("2", 3, "3", False, 5), ("3", 1, "1", False, 6000), ("3", 2, "2", False, 3), ("3", 3, "4", False, 4)]
+    vectors = spark.createDataFrame([("1", [1.0, 0.0]), ("2", [0.0, 1.0]), ("3", [0.6, 0.8]), ("4", [0.0, 1.0])], "id string, vector array<double>")
+    both = {(r.query, r.rank): r.doc for r in retrieval.cross_case_search(cases, asked, vectors=vectors).collect()}
+    assert [both["2", k] for k in (1, 2, 3)] == ["1", "4", "3"] and both["3", 1] == "2"  # 1 and 4 tie
+    texts = {r.query: r.context for r in retrieval.retrieval_context(spark.createDataFrame([("q", 1, "d", 0.5, "ao", [{"a": "b"}])], "query string, rank int, doc string, score double, ao string, table array<map<string,string>>"), spark.createDataFrame([("q",), ("z",)], "query string")).collect()}
+    assert texts["z"] == retrieval.NO_RESULT and "参考用例 1: d (score=0.5)" in texts["q"]
 
 
 def test_conversion(spark):
@@ -203,7 +251,7 @@ def test_conversion(spark):
     assert [(r["设备指令主键"], r["设备指令号"], r["设备类型"], r["_text"]) for r in records.collect()] == [("C1", "C1", "N", "N | a | D | c | K1 | d | C1 | p | q"), ("C2", "x", "al", "al | K2 | d | x | C2")]
     assert sorted((r.row, r.reason, r.device_command_id, r.dev_cat_id) for r in rejects.collect()) == [(5, "dev_cat_id_not_found_or_deleted", "C4", "K9"), (6, "duplicate_device_command_id", "C4", None), (7, "missing_device_command_id", None, None)]
     r = report.first()
-    assert (r.command_rows, r.deleted_commands, r.deleted_categories, r.records, r.rejected, r.orphans, r.code_fallbacks, r.duplicate_ids) == (6, 1, 1, 2, 3, 1, 1, ["C4"])
+    assert (r.command_rows, r.deleted_commands, r.deleted_categories, r.records, r.rejected, r.orphans, r.code_fallbacks, r.n_duplicate_ids) == (6, 1, 1, 2, 3, 1, 1, 1)
 
 
 def test_readers(spark, tmp_path):
@@ -237,12 +285,30 @@ def test_readers(spark, tmp_path):
     found = files.images(spark, str(tmp_path)).collect()
     assert [(r.image_id, r.source_ao_id) for r in found] == [("p_id131", "131"), ("q", None)] and all(r.embedding_name.endswith(".pt") for r in found)
     assert files.stale_embeddings(files.images(spark, str(tmp_path)), files.images(spark, str(tmp_path))).count() == 0
-    assert files.fingerprint(rows).first().n_rows == 2
+    mark = lambda df: files.fingerprint(df).first()
+    assert mark(rows).n_rows == 2 and mark(rows) == mark(rows.orderBy("id")) and mark(rows.union(rows)).hash != mark(rows.limit(0)).hash
+    facts = prep.conversion_report(spark.createDataFrame([(6,)], "command_rows long"), {"commands": files.source_facts(spark, str(table))})
+    assert facts["sources"]["commands"]["encoding"] == "gb18030" and facts["statistics"] == {"command_rows": 6} and facts["created_at"][4] == "-"
+
+
+def test_line_numbers_over_splits(spark, tmp_path):
+    for name, n in (("a", 5000), ("b", 37)):
+        (tmp_path / f"{name}.jsonl").write_text("\ufeff" + "".join(f"{name}{i}" + "x" * (i % 50) + ("\r\n" if i % 3 else "\n") for i in range(n)) + "\n", encoding="utf-8")
+    held = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        got = files.json_lines(spark, str(tmp_path))
+        assert got.rdd.getNumPartitions() > 1
+        rows = {(r.file[-7], r.line_number): r.value for r in got.collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", held)
+    expected = {(name, i + 1): f"{name}{i}" + "x" * (i % 50) for name, n in (("a", 5000), ("b", 37)) for i in range(n)}
+    assert rows == expected | {("a", 5001): "", ("b", 38): ""}
 
 
 def workbook(rows):
     strings = [v for r in rows for v in r if v is not None]
-    cells = "".join(f'<row r="{i}">' + "".join(f'<c r="{sinks.column_letters(j)}{i}" t="s"><v>{strings.index(v)}</v></c>' for j, v in enumerate(r, 1) if v is not None) + "</row>" for i, r in enumerate(rows, 1))
+    cells = "".join(f'<row r="{i}">' + "".join(f'<c r="{"ABCDEFG"[j - 1]}{i}" t="s"><v>{strings.index(v)}</v></c>' for j, v in enumerate(r, 1) if v is not None) + "</row>" for i, r in enumerate(rows, 1))
     out = io.BytesIO()
     with zipfile.ZipFile(out, "w") as z:
         z.writestr("xl/sharedStrings.xml", "<sst>" + "".join(f"<si><t>{s}</t></si>" for s in strings) + "</sst>")
@@ -278,6 +344,14 @@ def test_writers(spark, tmp_path):
     sinks.write_manifest(spark, str(tmp_path / "m.json"), {"status": "completed"})
     with pytest.raises(FileExistsError):
         sinks.write_manifest(spark, str(tmp_path / "m.json"), {})
+    read = lambda name: json.loads((tmp_path / name).read_text(encoding="utf-8"))
+    with sinks.run_manifest(spark, str(tmp_path / "run.json"), model="m") as entries:
+        assert read("run.json")["status"] == "initializing"
+        entries["samples"] = 3
+    assert read("run.json") | {"started_at": 0, "ended_at": 0} == {"status": "completed", "model": "m", "samples": 3, "started_at": 0, "ended_at": 0}
+    with pytest.raises(KeyError), sinks.run_manifest(spark, str(tmp_path / "bad.json")):
+        raise KeyError("x")
+    assert read("bad.json")["status"] == "failed" and "KeyError" in read("bad.json")["error"]
     with pytest.raises(ValueError):
         sinks.distinct_paths("/a", "/b", "/a/")
 
@@ -364,6 +438,18 @@ def test_small_checks(spark, tmp_path):
     rows = spark.createDataFrame([(2, 2, [0, 1]), (2, 3, [0, 0]), (0, 0, [5])], "n int, f int, i array<int>")
     assert [r[0] for r in rows.select(browse.export_request_errors(F.col("n"), F.col("f"), F.col("i"))).collect()] == [[], ["tables_differ_in_rows", "index_repeated"], ["row_count", "index_out_of_range"]]
     assert browse.layout(browse.PAIRED_FILES | {"x"}) == "paired" and browse.layout({browse.OLDER_FILE}) == "legacy" and browse.layout(set()) == "missing"
+    root = tmp_path / "results"
+    for name, n in (("one", 3), ("two", 9), ("old", None)):
+        (root / name).mkdir(parents=True)
+        for f in browse.PAIRED_FILES if n else {browse.OLDER_FILE}:
+            (root / name / f).write_text(json.dumps({"num_samples": n}))
+    assert browse.discover(spark, str(root))[0].endswith("/two") and browse.discover(spark, str(root), str(root / "old")) == (str(root / "old"), "legacy")
+    assert browse.discover(spark, str(root / "one"))[1] == "paired" and browse.discover(spark, str(tmp_path / "none"))[1] == "missing"
+    samples = spark.createDataFrame([(str(i), float(i)) for i in range(7)], "id string, delta double").withColumn("source", F.lit(""))
+    shown, total = browse.page_with_total(samples, "delta_asc", 1, 3)
+    assert [(r.id, r.place) for r in shown.collect()] == [("3", 4), ("4", 5), ("5", 6)] and tuple(total.first()) == (7, 3)
+    parts = prep.split_tables(spark.createDataFrame([(1, "train"), (2, "test"), (3, "eval"), (4, "train")], "i int, part string"))
+    assert {k: v.count() for k, v in parts.items()} == {"train": 2, "eval": 1, "test": 1, "all": 4} and parts["all"].columns == ["i"]
     path = tmp_path / "c.jsonl"
     path.write_text('{"id":"1"}\n', encoding="utf-8")
     kind = T._parse_datatype_string("id string")
