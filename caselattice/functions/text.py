@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from caselattice import schema
+from caselattice.functions import similarity as sim
 
 _EMPTY_WORDS = ("", "[]", "null", "none", "无", "否")
 #: One-character stop words of the search tokenizer, and the stop words of the index tokenizer.
@@ -80,29 +81,18 @@ def reference_form(c) -> Column:
     return F.when(bare.contains("@"), strip(F.regexp_replace(spaced, r"(?U)\s+", " "))).otherwise(bare)
 
 
-def _number(part: Column) -> Column:
-    """A number that both spellings accept; Java alone would also take a trailing d or f."""
-    return F.when(F.rlike(part, F.lit(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$")), part.try_cast("double"))
-
-
-def _short(number: Column) -> Column:
-    """Six significant digits, zeros at the end dropped, exponents below -4 and from 6 up."""
-    exponent = F.floor(F.log10(F.abs(number)))
-    fixed = F.regexp_replace(F.regexp_replace(F.format_string("%.6g", number), r"(\.\d*?)0+($|e)", "$1$2"), r"\.($|e)", "$1")
-    mantissa = F.regexp_replace(F.regexp_replace(F.format_string("%.5e", number), r"(\.\d*?)0+e", "$1e"), r"\.e", "e")
-    return F.when((exponent < -4) | (exponent >= 6), mantissa).otherwise(fixed)
+@F.pandas_udf(T.StringType())
+def _numeric_text(values: pd.Series) -> pd.Series:
+    return values.map(sim.number_form, na_action="ignore")
 
 
 def numeric_form(c) -> Column:
-    """Each part of a list with semicolons: whole numbers without a fraction, others with six digits, words as they are."""
-
-    def one(part: Column) -> Column:
-        bare = strip(part)
-        value = _number(bare)
-        whole = (value == F.floor(value)) & (F.abs(value) < 9.0e18)
-        return F.when(value.isNull(), bare).when(whole, value.cast("decimal(38,0)").cast("string")).otherwise(_short(value))
+    """Each part of a list with semicolons: whole numbers without a fraction, others with six digits, words as they are.
 
-    return F.array_join(F.transform(F.split(text_of(c), ";"), one), ";")
+    An Arrow function: the built-ins round a number's shortest decimal, which differs where that is a tie and the number
+    itself is not.
+    """
+    return _numeric_text(text_of(c))
 
 
 def field_form(value, field, *, nfkc: bool = True) -> Column:

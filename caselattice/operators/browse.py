@@ -86,7 +86,7 @@ def discover(spark: SparkSession, root: str, override: str | None = None) -> tup
     complete = []
     for folder in (f for f, k in kinds.items() if k == "paired"):
         summary = path_of(f"{folder}/{SUMMARY_FILE}")
-        said = spark.read.option("wholetext", True).text(summary.toString()).select(F.get_json_object("value", "$.num_samples").try_cast("long")).first()[0]
+        said = spark.read.text(summary.toString(), wholetext=True).select(F.get_json_object("value", "$.num_samples").try_cast("long")).first()[0]
         complete.append((said or 0, fs.getFileStatus(summary).getModificationTime(), folder))
     chosen = max(complete)[2] if complete else next((f for f, k in kinds.items() if k == "legacy"), root)
     return chosen, kinds[chosen]

@@ -108,6 +108,11 @@ def hashed_places(rows: DataFrame, stratum: str, key: str, seed: int) -> DataFra
     return met.withColumn("place", F.col("__before") + F.col("__rank")).drop("__hash", "__run", "__stratum", "__of", "__before", "__rank")
 
 
+def stratum_sizes(rows: DataFrame, stratum: str, *sums) -> DataFrame:
+    """Rows of each stratum, with sums of other columns."""
+    return rows.groupBy(stratum).agg(F.count(F.lit(1)).alias("n"), *sums)
+
+
 def stratified_split(rows: DataFrame, stratum: str, key: str, seed: int = 42) -> DataFrame:
     """Adds ``part``, in the order of a hash of seed and key within each stratum."""
     return hashed_places(rows, stratum, key, seed).withColumn("part", split_part(F.col("place"), F.col("stratum_rows")))

@@ -5,6 +5,9 @@ Scores are given in whole millionths, rounded half up from the same double in bo
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -118,16 +121,6 @@ def decision_ladder(spark, sf_dir):
     return wanted.join(found, F.col("item_id") == F.col("query"), "left").select("item_id", retrieval.replacement_decision(F.col("known"), F.col("wanted"), F.col("candidates"), threshold=0.1).alias("decision"))
 
 
-@query("cross_case_rrf", f"""WITH s AS (SELECT q.vec_id AS query_id, d.vec_id AS vec_id, floor({_DOT.replace('LEFT_V', 'q.embedding').replace('RIGHT_V', 'd.embedding')} * 1e6 + 0.5)::BIGINT AS dense, (q.vec_id * 31 + d.vec_id * 17) % 1009 AS lexical, d.label = q.label AS defines
-FROM embeddings q, embeddings d WHERE q.vec_id % 20 = 0 AND q.vec_id <> d.vec_id), r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY lexical DESC, vec_id) AS lr, row_number() OVER (PARTITION BY query_id ORDER BY dense DESC, vec_id) AS dr FROM s),
-k AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY defines DESC, 1.0::DOUBLE / (1 + lr) + 1.0::DOUBLE / (1 + dr) DESC, vec_id) AS rank FROM r) SELECT query_id, vec_id, defines, rank FROM k WHERE rank <= 5""")
-def cross_case_rrf(spark, sf_dir):
-    v = table(spark, sf_dir, "embeddings")
-    asked = retrieval.small(v.where("vec_id % 20 = 0").select(F.col("vec_id").alias("query"), F.col("embedding").alias("qv"), F.col("label").alias("ql")))
-    met = v.crossJoin(asked).select("query", F.col("vec_id").alias("doc"), micro(sim.dot(F.col("qv"), F.col("embedding"))).alias("dense"), ((F.col("query") * 31 + F.col("vec_id") * 17) % 1009).alias("lexical"), (F.col("label") == F.col("ql")).alias("defines"))
-    return retrieval.cross_case(met).select(F.col("query").alias("query_id"), F.col("doc").alias("vec_id"), "defines", "rank")
-
-
 _EIGHT = "list_transform(generate_series(0, 7), lambda k: V[k * 8 + 1 : k * 8 + 8])"
 
 
@@ -154,16 +147,6 @@ def reject_routing(spark, sf_dir):
     return met.select("o_orderkey", F.when(F.col("copy") > 1, "duplicate").when(F.col("c_custkey").isNull(), "not_found_or_deleted").otherwise("record").alias("outcome"))
 
 
-@query("conversion_report", """WITH o AS (SELECT * FROM orders), l AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS copy FROM o WHERE o_orderstatus <> 'P'), c AS (SELECT c_custkey FROM customer WHERE c_mktsegment <> 'BUILDING')
-SELECT (SELECT count(*) FROM o) AS n_rows, (SELECT count(*) FROM o WHERE o_orderstatus = 'P') AS n_deleted, count(*) FILTER (copy > 1) AS n_duplicate, count(*) FILTER (copy = 1 AND c_custkey IS NULL) AS n_orphan, count(*) FILTER (copy = 1 AND c_custkey IS NOT NULL) AS n_records
-FROM l LEFT JOIN c ON c_custkey = o_custkey""")
-def conversion_report(spark, sf_dir):
-    orders = table(spark, sf_dir, "orders")
-    routed = reject_routing(spark, sf_dir)
-    counts = routed.agg(F.count_if(F.col("outcome") == "duplicate").alias("n_duplicate"), F.count_if(F.col("outcome") == "not_found_or_deleted").alias("n_orphan"), F.count_if(F.col("outcome") == "record").alias("n_records"))
-    return orders.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("o_orderstatus") == "P").alias("n_deleted")).join(counts)
-
-
 _LINE_ORDER = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
 
 
@@ -199,7 +182,7 @@ def seeded_sample(spark, sf_dir):
 
 @query("stratum_sizes", "SELECT source, count(*) AS n, sum(n_chars)::BIGINT AS chars FROM documents GROUP BY source")
 def stratum_sizes(spark, sf_dir):
-    return table(spark, sf_dir, "documents").groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.sum("n_chars").alias("chars"))
+    return prep.stratum_sizes(table(spark, sf_dir, "documents"), "source", F.sum("n_chars").alias("chars"))
 
 
 _PROFILE = ", ".join(f"quantile_disc(n_chars, {p / 100}) AS p{p}" for p in (50, 75, 90, 95, 99))
@@ -230,12 +213,12 @@ def truncation_impact(spark, sf_dir):
 
 @query("longest_samples", "SELECT doc_id, n_chars FROM documents ORDER BY n_chars DESC, doc_id LIMIT 20")
 def longest_samples(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", "n_chars").orderBy(F.desc("n_chars"), "doc_id").limit(20)
+    return scoring.longest(table(spark, sf_dir, "documents").select("doc_id", "n_chars"), "doc_id", "n_chars", 20)
 
 
 @query("duplicate_ids", "SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1 HAVING count(*) > 1")
 def duplicate_ids(spark, sf_dir):
-    return table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    return scoring.duplicate_ids(table(spark, sf_dir, "orders"), "o_custkey")
 
 
 def _chats(spark, sf_dir) -> DataFrame:
@@ -274,16 +257,6 @@ def masked_labels(spark, sf_dir):
     return full.select("conv_id", labels.alias("l")).select("conv_id", F.size("l").alias("n"), F.size(F.filter("l", lambda x: x == -100)).alias("n_masked"), F.aggregate(F.filter("l", lambda x: x != -100), F.lit(0), lambda s, x: s + x).alias("label_sum"))
 
 
-@query("context_window", """WITH g AS (SELECT conv_id, turn, role, text, CASE WHEN role = 'assistant' THEN NULL ELSE text END AS given FROM conversations),
-w AS (SELECT *, list(given) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING) AS before FROM g)
-SELECT conv_id, turn, len(list_filter(coalesce(before, []), lambda x: x IS NOT NULL)) AS n_before, array_to_string(list_filter(coalesce(before, []), lambda x: x IS NOT NULL) || [text], '。') AS query FROM w WHERE role = 'assistant'""")
-def context_window(spark, sf_dir):
-    given = F.when(F.col("role") == "assistant", F.lit(None)).otherwise(F.col("text"))
-    before = F.collect_list(given).over(Window.partitionBy("conv_id").orderBy("turn").rowsBetween(-3, -1))
-    rows = table(spark, sf_dir, "conversations").withColumn("before", before).where("role = 'assistant'")
-    return rows.select("conv_id", "turn", F.size("before").alias("n_before"), F.array_join(F.concat("before", F.array("text")), "。").alias("query"))
-
-
 @query("nested_islands", """WITH g AS (SELECT *, sum((event_type = 'signup')::INT) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS island FROM events)
 SELECT user_id, island, count(*) FILTER (event_type <> 'signup') AS n_minor, coalesce(string_agg(event_type, ',' ORDER BY ts, event_id) FILTER (event_type <> 'signup'), '') AS minors FROM g WHERE island > 0 GROUP BY 1, 2""")
 def nested_islands(spark, sf_dir):
@@ -341,14 +314,6 @@ def field_means(spark, sf_dir):
     return found.select("field", F.floor(F.col("mean_score") * 1e3 + 0.5).cast("long").alias("mean_e3"), "n_samples")
 
 
-@query("weighted_row_score", """SELECT l_orderkey % 100 AS bucket, floor(avg((1.5 * l_discount + 1.2 * l_tax + 0.8 * (l_returnflag = 'R')::INT) / 3.5) * 1e5 + 0.5)::BIGINT AS score_e5 FROM lineitem GROUP BY 1""")
-def weighted_row_score(spark, sf_dir):
-    weights = {"l_discount": 1.5, "l_tax": 1.2, "returned": 0.8}
-    rows = table(spark, sf_dir, "lineitem").withColumn("returned", (F.col("l_returnflag") == "R").cast("double"))
-    total = sum((F.lit(w) * F.col(c) for c, w in weights.items()), F.lit(0.0)) / sum(weights.values())
-    return rows.groupBy((F.col("l_orderkey") % 100).alias("bucket")).agg(F.floor(F.avg(total) * 1e5 + 0.5).cast("long").alias("score_e5"))
-
-
 @query("positional_align", """WITH r AS (SELECT conv_id, role, turn, row_number() OVER (PARTITION BY conv_id, role ORDER BY turn) AS k FROM conversations), o AS (SELECT conv_id, role, turn, row_number() OVER (PARTITION BY conv_id, role ORDER BY turn) AS k FROM conversations WHERE turn > 0)
 SELECT conv_id, role, r.turn AS left_index, o.turn AS right_index FROM r JOIN o USING (conv_id, role, k)""")
 def positional_align(spark, sf_dir):
@@ -377,11 +342,13 @@ a AS (SELECT item_id, n, g, count(*) AS c FROM (SELECT item_id, n, substr(x, unn
 v AS (SELECT item_id, n, sum(least(a.c, b.c))::DOUBLE AS ov FROM a JOIN b USING (item_id, n, g) GROUP BY 1, 2), f AS (SELECT o.item_id, 5 * coalesce(ov, 0) / (4 * (length(x) - n + 1) + length(y) - n + 1) AS f FROM o LEFT JOIN v USING (item_id, n))
 SELECT item_id, floor(sum(f) / 6 * 1e5 + 0.5)::BIGINT AS score_e5 FROM f GROUP BY item_id""")
 def char_gram_f(spark, sf_dir):
-    def one(a, b):
-        return float(sim.gram_f(a, b))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            scores = [sim.gram_f(x.as_py(), y.as_py()) for x, y in zip(batch.column(1), batch.column(2), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], names=["item_id", "score"])
 
-    score = F.udf(one, "double", useArrow=True)
-    return _paired_text(spark, sf_dir).select("item_id", F.floor(score("x", "y") * 1e5 + 0.5).cast("long").alias("score_e5"))
+    scored = _paired_text(spark, sf_dir).select("item_id", "x", "y").mapInArrow(run, "item_id long, score double")
+    return scored.select("item_id", F.floor(F.col("score") * 1e5 + 0.5).cast("long").alias("score_e5"))
 
 
 @query("multiset_f1", """WITH c AS (SELECT conv_id, role, count(*) AS n FROM conversations GROUP BY 1, 2), d AS (SELECT conv_id, role, count(*) AS n FROM conversations WHERE turn > 0 GROUP BY 1, 2)
@@ -432,58 +399,59 @@ def html_clean(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", F.md5(tx.plain_html("html")).alias("text_md5"))
 
 
-@query("json_props", "SELECT event_id, (props->>'k')::BIGINT AS k, json_valid(props) AS fits FROM events")
-def json_props(spark, sf_dir):
-    parsed = F.try_parse_json("props")
-    return table(spark, sf_dir, "events").select("event_id", F.try_variant_get(parsed, "$.k", "bigint").alias("k"), parsed.isNotNull().alias("fits"))
-
-
-@query("dedupe_distinct_parts", "SELECT l_suppkey, array_to_string(list_sort(list_distinct(list(l_returnflag || l_linestatus))), ',') AS flags, count(DISTINCT l_partkey) AS parts FROM lineitem GROUP BY 1")
-def dedupe_distinct_parts(spark, sf_dir):
-    return table(spark, sf_dir, "lineitem").groupBy("l_suppkey").agg(F.array_join(F.array_sort(F.collect_set(F.concat("l_returnflag", "l_linestatus"))), ",").alias("flags"), F.countDistinct("l_partkey").alias("parts"))
-
+# --- tables and JSON: inputs whose results follow from how they are made ---------------------------------------
 
-# --- operators that SQL cannot state: rows only, held against brute force by the tests ------------------------
 
-
-def _tables(spark, sf_dir) -> DataFrame:
-    """Conversations as case tables: turns are rows, roles their levels; predictions lack the first turn."""
+def _tables(spark, sf_dir, without_first: bool = True) -> DataFrame:
+    """Conversations as case tables: turns are rows, roles their levels; predictions lack the first turn, or the last."""
     level = F.create_map(*[F.lit(x) for x in ("system", "用例", "user", "步骤", "assistant", "判据")])
     row = F.create_map(F.lit("步骤层级"), F.element_at(level, F.col("role")), F.lit("说明"), F.col("text"), F.lit("判据描述"), F.reverse("text"))
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", row.alias("row"))
     both = turns.groupBy(F.col("conv_id").alias("id")).agg(F.array_sort(F.collect_list(F.struct("turn", F.map_entries("row").alias("row")))).alias("t"))
     rows = F.transform("t", lambda x: F.map_from_entries(x["row"]))
-    return both.select("id", rows.alias("gt_rows"), F.slice(rows, 2, F.size("t")).alias("pred_rows"))
+    return both.select("id", rows.alias("gt_rows"), (F.slice(rows, 2, F.size("t")) if without_first else F.slice(rows, 1, F.size("t") - 1)).alias("pred_rows"))
+
 
+_SCORED = """WITH c AS (SELECT conv_id AS id, count(*)::DOUBLE AS n FROM conversations GROUP BY 1), d AS (SELECT id, n, n - 1 AS m, CASE WHEN n > 1 THEN (n - 1) / n ELSE 0 END AS share, CASE WHEN n > 1 THEN 2 * (n - 1) / (2 * n - 1) ELSE 0 END AS kinds FROM c),
+s AS (SELECT id, n::BIGINT AS gt_rows, m::BIGINT AS pred_rows, m::BIGINT AS matched_rows, 1::BIGINT AS unmatched_gt, 0::BIGINT AS unmatched_pred, false AS row_count_match, share AS row_coverage, (m > 0)::INT::DOUBLE AS row_precision, 2 * share / (share + 1) AS row_match_f1, 2 * share / (share + 1) AS content_score, (m > 0)::INT::DOUBLE AS matched_content_score,
+  share AS row_count_score, share AS level_lcs_score, kinds AS level_multiset_f1, 0.35 * share + 0.5 * share + 0.15 * kinds AS structure_score FROM d), o AS (SELECT *, 0.4 * structure_score + 0.6 * content_score AS overall_score FROM s)"""
+_E6 = ", ".join(f"floor({s} * 1e6 + 0.5)::BIGINT AS {s}_e6" for s in scoring.SCORES)
 
-@query("table_scores")
+
+@query("table_scores", f"{_SCORED} SELECT id, {', '.join(scoring.COUNTS)}, row_count_match, {_E6} FROM o")
 def table_scores(spark, sf_dir):
-    return scoring.score_tables(_tables(spark, sf_dir)).drop("field_scores")
+    found = scoring.score_tables(_tables(spark, sf_dir), digits=None)
+    return found.select("id", *scoring.COUNTS, "row_count_match", *[micro(s).alias(f"{s}_e6") for s in scoring.SCORES])
 
 
-@query("table_scores_first_edition")
+@query("table_scores_first_edition", """WITH c AS (SELECT conv_id AS id, count(*)::DOUBLE AS n FROM conversations GROUP BY 1), s AS (SELECT id, (n - 1)::BIGINT AS matched_rows, 0.5 * ((n - 1) / n) + 0.5 * ((n - 1) / n) AS structure, CASE WHEN n > 1 THEN 1 - 0.3 / n ELSE 0 END AS content FROM c)
+SELECT id, matched_rows, floor(structure * 1e6 + 0.5)::BIGINT AS structure_e6, floor(content * 1e6 + 0.5)::BIGINT AS content_e6, floor((0.4 * structure + 0.6 * content) * 1e6 + 0.5)::BIGINT AS overall_e6 FROM s""")
 def table_scores_first_edition(spark, sf_dir):
-    return scoring.score_tables(_tables(spark, sf_dir), edition=1)
+    found = scoring.score_tables(_tables(spark, sf_dir, without_first=False), edition=1, digits=None)
+    return found.select("id", "matched_rows", *[micro(f"{s}_score").alias(f"{s}_e6") for s in ("structure", "content", "overall")])
 
 
-@query("table_score_means")
+@query("table_score_means", f"{_SCORED} SELECT count(*) AS num_samples, {', '.join(f'floor(round(avg(round({s}, 4)), 4) * 1e4 + 0.5)::BIGINT AS {s}_e4' for s in scoring.SCORES)} FROM o")
 def table_score_means(spark, sf_dir):
-    return scoring.mean_scores(scoring.score_tables(_tables(spark, sf_dir)))
+    found = scoring.mean_scores(scoring.score_tables(_tables(spark, sf_dir)))
+    return found.select("num_samples", *[F.floor(F.col(s) * 1e4 + 0.5).cast("long").alias(f"{s}_e4") for s in scoring.SCORES])
 
 
-@query("json_recovery")
+@query("json_recovery", """SELECT doc_id, CASE WHEN doc_id % 4 = 3 THEN 0 ELSE 1 END AS n_rows, doc_id % 4 <> 3 AS parse_success, doc_id % 4 = 0 AS strict_json_array, CASE doc_id % 4 WHEN 0 THEN 'strict_json_array' WHEN 1 THEN 'recovered_array' WHEN 2 THEN 'object_wrapper:rows' ELSE 'failed' END AS parse_mode FROM documents""")
 def json_recovery(spark, sf_dir):
-    rows = F.to_json(F.array(F.create_map(F.lit("步骤层级"), F.lit("步骤"), F.lit("说明"), F.col("text"))))
+    rows = F.to_json(F.array(F.create_map(F.lit("步骤层级"), F.lit("步骤"), F.lit("说明"), tx.text_of("text"))))
     shapes = F.when(F.col("doc_id") % 4 == 0, rows).when(F.col("doc_id") % 4 == 1, F.concat(F.lit("<think>[1]</think>```json\n"), rows, F.lit("\n```"))).when(F.col("doc_id") % 4 == 2, F.concat(F.lit('{"rows":'), rows, F.lit("}"))).otherwise(F.col("text"))
     found = jsonparse.recover_rows(table(spark, sf_dir, "documents").select("doc_id", shapes.alias("raw")), "raw", keep=("doc_id",))
     return found.select("doc_id", F.size("rows").alias("n_rows"), "parse_success", "strict_json_array", "parse_mode")
 
 
-@query("row_validation")
+@query("row_validation", "SELECT conv_id, turn, CASE WHEN turn % 2 = 0 THEN '[0].注意事项:missing' ELSE '[0].步骤层级:illegal' END AS errors FROM conversations")
 def row_validation(spark, sf_dir):
     rows = F.to_json(F.array(F.create_map(F.lit("步骤层级"), F.when(F.col("turn") % 2 == 0, "用例").otherwise("x"), F.lit("说明"), F.col("role"))))
     t = table(spark, sf_dir, "conversations").select("conv_id", "turn", jsonparse.typed_rows(rows).alias("rows"))
     return t.select("conv_id", "turn", F.array_join(prep.row_errors(F.col("rows")), ";").alias("errors"))
 
 
+from caselattice.plans import case_queries  # noqa: E402, F401  registers its queries
+
 __all__ = ["ORACLES", "QUERIES"]

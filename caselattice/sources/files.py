@@ -262,7 +262,8 @@ def plain_text(raw: str | None) -> str:
 
 def images(spark: SparkSession, folder: str, *, recursive: bool = True) -> DataFrame:
     """(image_path, file_size, modified, image_id, source_ao_id, embedding_name) of image files; contents aren't read."""
-    found = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower()).load(folder).select("path", "length", "modificationTime")
+    plain = F.try_url_decode(F.replace("path", F.lit("+"), F.lit("%2B")))  # the source gives names as they stand in an address
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower()).load(folder).select(F.coalesce(plain, "path").alias("path"), "length", "modificationTime")
     stem = F.regexp_replace(F.element_at(F.split("path", "/"), -1), r"\.[^.]*$", "")
     chosen = found.where(F.rlike(F.lower("path"), F.lit(rf"\.({'|'.join(IMAGE_SUFFIXES)})$")))
     return chosen.select(
