@@ -5,18 +5,15 @@ from __future__ import annotations
 import ctypes
 import gc
 import hashlib
-import re
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caselattice.session import ship_package  # noqa: F401
+from caselattice.session import new_path, release, shared_dir, ship_package, stash  # noqa: F401
 
 #: ASCII white space of the word definition ``[^\x20\x09-\x0D]+``; ``bytes.split()`` cuts at the same bytes.
 SPACE_CLASS = r"[\x20\x09-\x0D]+"
@@ -41,48 +38,6 @@ def held_by(operator: str) -> dict:
     return _HELD[operator]
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir. Only a session in one process may lack it and get
-    a folder of its own; on a cluster its executors would each write to their own disk."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    sc = spark.sparkContext
-    if named:  # a path without a scheme is one of Hadoop's default store
-        path = sc._jvm.org.apache.hadoop.fs.Path(named)
-        return path.getFileSystem(sc._jsc.hadoopConfiguration()).makeQualified(path).toString().rstrip("/")
-    if not re.match(r"local($|\[)", sc.master):
-        raise RuntimeError("spark.checkpoint.dir is not set: name a folder that the driver and all executors share")
-    if not getattr(sc, "_caselattice_shared", None):
-        sc._caselattice_shared = "file://" + tempfile.mkdtemp(prefix="caselattice-shared-")
-    return sc._caselattice_shared
-
-
-def new_path(spark: SparkSession, label: str) -> str:
-    """A path of the shared folder that nothing else uses; `release` deletes it."""
-    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    spark.sparkContext.__dict__.setdefault("_caselattice_written", []).append(path)
-    return path
-
-
-def stash(df: DataFrame, label: str) -> DataFrame:
-    """Writes ``df`` to the shared folder and reads it back: lineage ends there and lost executors lose nothing."""
-    path = new_path(df.sparkSession, label)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def release(spark: SparkSession, keep: int = 0, last: int = 0) -> int:
-    """Deletes what this session has written to the shared folder, but for its first ``keep`` and its ``last`` paths, once
-    results that read them are no longer needed. Gives the number of paths that stay."""
-    written = spark.sparkContext.__dict__.setdefault("_caselattice_written", [])
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    end = max(len(written) - last, keep)
-    for name in written[keep:end]:
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
-        path.getFileSystem(conf).delete(path, True)
-    del written[keep:end]
-    return len(written)
-
-
 def total_bytes(df: DataFrame, column: str) -> int:
     return df.agg(F.coalesce(F.sum(F.octet_length(column).cast("long")), F.lit(0))).first()[0]
 
