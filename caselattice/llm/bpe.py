@@ -21,7 +21,8 @@ from pyspark.sql import types as T
 
 from . import common
 
-#: Pieces whose encoding a worker keeps; the first ones met stay, which are the frequent ones. Bounds memory only.
+#: Pieces whose encoding a worker keeps, half of them those met since the other half was full: what is used stays. Bounds
+#: memory only.
 KEPT_PIECES = 400_000
 KEPT_PAIRS = 500_000
 
@@ -41,6 +42,7 @@ class PrefixEncoder:
         self._alone: dict[int, bool] = {}
         self._pairs: dict[int, bool] = {}
         self._pieces: dict[str, tuple[int, ...]] = {}
+        self._older: dict[str, tuple[int, ...]] = {}
 
     def _merged(self, data: bytes) -> list[int]:
         """The tokens of a few bytes by lowest rank first; used to judge single tokens and pairs."""
@@ -103,22 +105,31 @@ class PrefixEncoder:
         return tuple(reversed(out))
 
     def encode_piece(self, piece: str) -> tuple[int, ...]:
-        known = self._pieces.get(piece)
+        known = self._pieces.get(piece) or self._older.get(piece)
         if known is None:
             data = piece.encode()
             whole = self.ranks.get(data)
             known = (whole,) if whole is not None else self.tokens(self.extend(data, []))
-            if len(self._pieces) < KEPT_PIECES:
-                self._pieces[piece] = known
+            self.turn_over()
+            self._pieces[piece] = known
         return known
 
-    def learn(self, texts: list[list[str]]) -> list[str]:
-        """Encodes the pieces of some texts that are not known yet; returns those to forget afterwards.
+    def turn_over(self) -> None:
+        """Lets go the pieces not used since the last time, once the others are half of what is kept."""
+        if len(self._pieces) >= KEPT_PIECES // 2:
+            self._older, self._pieces = self._pieces, {}
+
+    def learn(self, texts: list[list[str]]) -> dict[str, tuple[int, ...]]:
+        """The encodings of all pieces of some texts; those that are not known yet are encoded.
 
         In sorted order each piece begins like the one before, whose prefix tokens hold for as far as the two agree.
         """
-        known, ranks = self._pieces, self.ranks
-        fresh = sorted((p.encode(), p) for p in set().union(*texts).difference(known))
+        self.turn_over()
+        known, older, ranks = self._pieces, self._older, self.ranks
+        absent = set().union(*texts).difference(known)
+        met = absent.intersection(older)
+        known.update(zip(met, map(older.__getitem__, met), strict=True))
+        fresh = sorted((p.encode(), p) for p in absent.difference(met))
         before, last = b"", []
         for data, piece in fresh:
             whole = ranks.get(data)
@@ -133,11 +144,7 @@ class PrefixEncoder:
             del last[same:]
             known[piece] = self.tokens(self.extend(data, last))
             before = data
-        return [p for _, p in fresh] if len(known) > KEPT_PIECES else []
-
-    def forget(self, pieces: list[str]) -> None:
-        for p in pieces:
-            del self._pieces[p]
+        return known
 
     def encode(self, pieces: Iterable[str]) -> list[int]:
         return list(chain.from_iterable(map(self.encode_piece, pieces)))
@@ -240,8 +247,7 @@ def encode(docs: DataFrame, rank_file: str, pattern: str, *, text: str = "text",
             found: dict[str, list] = {o: [] for o in wanted}
             for texts in chunks_of(batch.column(n_kept)):
                 pieces = [split(t) for t in texts]
-                passing = encoder.learn(pieces)
-                known = encoder._pieces.__getitem__
+                known = encoder.learn(pieces).__getitem__
                 for own in pieces:
                     ids = list(chain.from_iterable(map(known, own)))
                     if "ids" in found:
@@ -256,7 +262,6 @@ def encode(docs: DataFrame, rank_file: str, pattern: str, *, text: str = "text",
                             found["decoded"].append(data)
                         if "decoded_sha256" in found:
                             found["decoded_sha256"].append(hashlib.sha256(data).hexdigest())
-                encoder.forget(passing)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(i) for i in range(n_kept)] + [pa.array(found[o], _OUTPUTS[o][1]) for o in wanted],
                 names=[*kept, *wanted],

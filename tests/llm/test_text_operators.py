@@ -82,6 +82,18 @@ def test_bpe_appends_and_edits(reference_encoding):
         assert list(encoder.tokens(last)) == reference_encoding.encode_ordinary(piece[:k].decode())
 
 
+def test_bpe_keeps_what_is_used(reference_encoding, monkeypatch):
+    monkeypatch.setattr(bpe, "KEPT_PIECES", 40)
+    rnd = random.Random(67)
+    encoder = bpe.PrefixEncoder(bpe.read_ranks(open(RANKS, "rb").read()))
+    for _ in range(60):
+        pieces = [["often", " the"] + ["".join(rnd.choice("abcdé ") for _ in range(rnd.randrange(1, 9))) for _ in range(15)]]
+        known = encoder.learn(pieces)
+        assert all(list(known[p]) == reference_encoding._encode_single_piece(p.encode()) for p in pieces[0])
+        assert len(encoder._pieces) + len(encoder._older) <= 40 + 2 * 17 and "often" in encoder._pieces
+    assert list(encoder.encode_piece(" unseen")) == reference_encoding._encode_single_piece(b" unseen")
+
+
 def test_bpe_empty_table(spark):
     assert bpe.encode(frame(spark, []), RANKS, public_tokenizers.PATTERN).count() == 0
 
