@@ -23,7 +23,7 @@ from . import common
 
 #: Pieces whose encoding a worker keeps, half of them those met since the other half was full: what is used stays. Bounds
 #: memory only.
-KEPT_PIECES = 400_000
+KEPT_PIECES = 800_000
 KEPT_PAIRS = 500_000
 
 
