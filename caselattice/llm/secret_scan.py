@@ -70,7 +70,8 @@ def candidates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", p
             F.struct(i.cast("long").alias("position"), w.alias("word"), F.concat_ws(" ", near(i, -2), near(i, -1)).alias("before"), near(i, 1).alias("after"), block(w, i).alias("rest")),
         ),
     )
-    rows = held.select("doc_id", "path", F.explode(F.array_compact(met)).alias("c")).select("doc_id", "path", "c.*")
+    # few words are looked at closer; their expressions are compiled by themselves, beside no text
+    rows = common.stash(held.select("doc_id", "path", F.explode(F.array_compact(met)).alias("c")).select("doc_id", "path", "c.*"), "secret-words")
     kinds = rows.withColumns(
         {
             "runs": F.regexp_extract_all("word", F.lit(f"({CANDIDATE})"), F.lit(1)),
