@@ -127,7 +127,7 @@ def _counts(rows: DataFrame) -> DataFrame:
         for batch in batches:
             for text in texts_in(batch.column(0)):
                 total.update(toxicity.features_of(set(toxicity.words_of(text))))
-                if len(total) > 500_000:
+                if len(total) > 200_000:
                     yield drain()
         yield drain()
 
