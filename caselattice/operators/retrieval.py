@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from caselattice import schema
 from caselattice.functions import similarity as sim
 from caselattice.functions import text as tx
+from caselattice.operators import blocks
 from caselattice.session import stash
 
 #: Queries and pools up to this many rows are broadcast; larger ones are joined by a shuffle.
@@ -113,6 +114,41 @@ def cross_case_search(cases: DataFrame, asked: DataFrame, *, tokens: Callable[[C
     both, without which only words count. Every other case is ranked, those without a common word by their identifier;
     cases that define a target come first. ``ao`` is cut to ``shown`` characters for display, after the search.
     """
+    if _keyed_once(cases, asked, vectors):
+        given = vectors.select("id", F.col("vector").cast("array<double>").alias("vector")) if vectors is not None else None
+        ranked = blocks.ranked(_hashed(cases, tokens(F.col("search_text")), "defined_ids", given), _hashed(asked, F.array_distinct(tokens(F.col("query"))), "targets", given), k=k, base=1, dense=vectors is not None)
+    else:
+        ranked = _every_pair_ranked(cases, asked, tokens, vectors, k)
+    return ranked.join(cases.select(F.col("id").alias("doc"), F.left("ao_text", F.lit(shown)).alias("ao")), "doc")
+
+
+def _keyed_once(cases: DataFrame, asked: DataFrame, vectors: DataFrame | None) -> bool:
+    """Whether keys are numbers or words, of one type, there and not repeated, and vectors finite and of one length."""
+    tables = [t for t in (cases, asked, vectors) if t is not None]
+    kinds = {t.schema["id"].dataType.simpleString() for t in tables}
+    if len(kinds) > 1 or not kinds <= {"int", "bigint", "string"}:
+        return False
+    n = [t.agg((F.count(F.lit(1)) == F.countDistinct("id")).alias("once")) for t in tables]
+    if not all(t.first().once for t in n):
+        return False
+    if vectors is None:
+        return True
+    odd = F.exists(F.col("vector").cast("array<double>"), lambda x: ~F.coalesce(F.abs(x) < 1e150, F.lit(False)))
+    seen = vectors.agg(F.countDistinct(F.size("vector")).alias("n"), F.min(F.size("vector")).alias("least"), F.coalesce(F.max(odd), F.lit(False)).alias("odd")).first()
+    return seen.n == 0 or (seen.n == 1 and seen.least > 0 and not seen.odd)
+
+
+def _hashed(rows: DataFrame, terms: Column, ids: str, vectors: DataFrame | None) -> DataFrame:
+    """Rows as `blocks.ranked` takes them; words and identifiers are told apart by 64-bit hashes."""
+    listed, hashes = F.col(ids), lambda c: F.transform(c, lambda x: F.xxhash64(x))
+    kind = F.when(listed.isNull(), 0).when(F.size(listed) == 0, 1).when(F.exists(listed, lambda x: x.isNull()), 3).otherwise(2)
+    known = F.array_distinct(F.filter(F.coalesce(listed, F.array().cast("array<string>")), lambda x: x.isNotNull()))
+    met = rows.withColumn("vector", F.lit(None).cast("array<double>")) if vectors is None else rows.join(vectors, "id", "left")
+    return met.select(F.col("id").alias("key"), hashes(terms).alias("terms"), hashes(known).alias("ids"), kind.alias("kind"), "vector")
+
+
+def _every_pair_ranked(cases: DataFrame, asked: DataFrame, tokens: Callable[[Column], Column], vectors: DataFrame | None, k: int) -> DataFrame:
+    """The same by a row for every pair, for repeated keys and uneven vectors."""
     queries = asked.select(F.col("id").alias("query"), "query", "targets").toDF("query", "said", "targets")
     hits = bm25(queries, "query", tokens(F.col("said")), cases, "id", tokens(F.col("search_text")), distinct_terms=True, least_avgdl=1.0)
     docs = cases.select(F.col("id").alias("doc"), "defined_ids")
@@ -122,8 +158,7 @@ def cross_case_search(cases: DataFrame, asked: DataFrame, *, tokens: Callable[[C
         met = met.withColumn("dense", F.lit(None).cast("double"))
     else:
         met = rerank(met, vectors.select(F.col("id").alias("doc"), F.col("vector").alias("dv")), vectors.select(F.col("id").alias("query"), F.col("vector").alias("qv")))
-    ranked = cross_case(met, k=k, dense=vectors is not None)
-    return ranked.join(cases.select(F.col("id").alias("doc"), F.left("ao_text", F.lit(shown)).alias("ao")), "doc")
+    return cross_case(met, k=k, dense=vectors is not None)
 
 
 def replacement_decision(known: Column, identifier: Column, candidates: Column, *, mode: str = "replace", threshold: float = 0.68, margin: float = 0.05) -> Column:

@@ -4,7 +4,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from caselattice.operators import prep
+from caselattice.operators import prep, retrieval
 from caselattice.plans import queries
 
 
@@ -34,3 +34,23 @@ def test_numbers_of_five_digits(spark, against_sql):
     against_sql("case_texts", conversations="SELECT * FROM (VALUES (10001, 0, 'user', 'a'), (10003, 0, 'user', 'b'), (9998, 1, 'user', 'c'), (10004, 0, 'system', 'd'), (20, 0, 'user', 'e'), (123457, 0, 'user', 'f')) t(conv_id, turn, role, text)")
     # the operator itself cuts no number
     assert spark.range(123457, 123458).select(prep.case_id(F.lit(""), F.lit(""), F.col("id"))).first()[0] == "case_123457"
+
+
+def test_cross_case_search_makes_no_pairs(spark):
+    """Blocks give what a row for every pair gives: ties, few and many that define a target, unknown ones, no vectors."""
+    words = ["alpha", "beta", "gamma", "delta", "common"]
+    made = []
+    for i in range(160):
+        text = " ".join(words[j % 5] for j in range(i % 7)) + " common" * (i % 3 > 0)
+        ids = None if i % 53 == 7 else [] if i % 3 else ["A"] if i % 4 else ["A", "B"] if i % 12 else ["B", None]
+        made.append((i, text, ids, f"ao {i}"))
+    cases = spark.createDataFrame(made, "id long, search_text string, defined_ids array<string>, ao_text string").repartition(5)
+    asked = spark.createDataFrame([(i, made[i][1] + " beta", (["A"], ["B"], ["Z"], [], None, ["C", None])[i // 10 % 6]) for i in range(0, 160, 10)] + [(999, "delta alpha", ["B"])], "id long, query string, targets array<string>")
+    vectors = spark.createDataFrame([(i, [float(i % 9), 1.0, float(i % 4)]) for i in range(0, 160) if i % 5 != 1], "id long, vector array<double>")
+    for held in (vectors, None):
+        columns = ["query", "rank", "doc", "lexical", "dense", "defines", "lexical_rank"] + ["dense_rank"] * (held is not None)
+        found = retrieval.cross_case_search(cases, asked, vectors=held)
+        plain = retrieval._every_pair_ranked(cases, asked, retrieval.tx.search_tokens, held, 5)
+        assert "CartesianProduct" not in found._jdf.queryExecution().executedPlan().toString()
+        got, wanted = (sorted(map(tuple, x.select(*columns).collect()), key=repr) for x in (found, plain))
+        assert len(got) == 17 * 5 and got == wanted
