@@ -80,6 +80,25 @@ def dense_scores(queries: DataFrame, items: DataFrame, *, query: str, item: str,
     return items.select(F.col(item).alias("doc"), F.col(vector).alias("dv")).crossJoin(small(asked)).select("query", "doc", sim.dot(F.col("qv"), F.col("dv")).alias("dense"))
 
 
+def nearest(items: DataFrame, asked: DataFrame, k: int, *, parts: int = 1, width: int | None = None) -> DataFrame:
+    """(query, doc, score_e6, rank): the ``k`` best of (key, vector) for each asked one, by product or, with several ``parts`` of
+    ``width``, by late interaction. Even, finite vectors meet in blocks; others by a row for each pair."""
+    seen = items.unionByName(asked).agg(F.min(F.size("vector")).alias("least"), F.max(F.size("vector")).alias("most"), F.max(_odd_vector("vector")).alias("odd"), F.count(F.when(F.col("key").isNull() | F.col("vector").isNull(), 1)).alias("gone")).first()
+    if seen.least is None or (seen.least == seen.most == (parts * width if width else seen.least) and seen.least > 0 and not seen.odd and not seen.gone):
+        return blocks.nearest(items, asked, k, parts)
+    if width is None:
+        score = sim.dot(F.col("qv"), F.col("dv"))
+    else:
+        score = sim.max_sim(*[F.transform(F.sequence(F.lit(0), F.lit(parts - 1)), cut) for cut in (lambda i: F.slice("qv", i * width + 1, width), lambda i: F.slice("dv", i * width + 1, width))])
+    pairs = items.select(F.col("key").alias("doc"), F.col("vector").alias("dv")).crossJoin(small(asked.select(F.col("key").alias("query"), F.col("vector").alias("qv"))))
+    return top_k(pairs.select("query", "doc", tx.round_micro(score).alias("score_e6")), k, score="score_e6")
+
+
+def _odd_vector(vector: str) -> Column:
+    """Whether something in it is null, not finite or so large that products are not."""
+    return F.coalesce(F.exists(F.col(vector).cast("array<double>"), lambda x: ~F.coalesce(F.abs(x) < 1e150, F.lit(False))), F.lit(False))
+
+
 def rerank(pool: DataFrame, vectors: DataFrame, query_vectors: DataFrame) -> DataFrame:
     """Adds dense scores to a pool: (query, doc) met with (doc, dv) and (query, qv)."""
     met = pool.join(vectors, "doc", "left").join(query_vectors, "query", "left")
@@ -133,8 +152,7 @@ def _keyed_once(cases: DataFrame, asked: DataFrame, vectors: DataFrame | None) -
         return False
     if vectors is None:
         return True
-    odd = F.exists(F.col("vector").cast("array<double>"), lambda x: ~F.coalesce(F.abs(x) < 1e150, F.lit(False)))
-    seen = vectors.agg(F.countDistinct(F.size("vector")).alias("n"), F.min(F.size("vector")).alias("least"), F.coalesce(F.max(odd), F.lit(False)).alias("odd")).first()
+    seen = vectors.agg(F.countDistinct(F.size("vector")).alias("n"), F.min(F.size("vector")).alias("least"), F.max(_odd_vector("vector")).alias("odd")).first()
     return seen.n == 0 or (seen.n == 1 and seen.least > 0 and not seen.odd)
 
 

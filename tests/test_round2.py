@@ -16,7 +16,7 @@ def against_sql(spark, tmp_path):
         con = duckdb.connect()
         for t, made in tables.items():
             con.execute(f"COPY ({made}) TO '{tmp_path}/{t}.parquet' (FORMAT parquet)")
-            con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{tmp_path}/{t}.parquet')")
+            con.execute(f"CREATE OR REPLACE VIEW {t} AS SELECT * FROM read_parquet('{tmp_path}/{t}.parquet')")
         found = queries.QUERIES[name](spark, str(tmp_path))
         wanted = con.execute(queries.ORACLES[name])
         columns = [c[0] for c in wanted.description]
@@ -54,3 +54,15 @@ def test_cross_case_search_makes_no_pairs(spark):
         assert "CartesianProduct" not in found._jdf.queryExecution().executedPlan().toString()
         got, wanted = (sorted(map(tuple, x.select(*columns).collect()), key=repr) for x in (found, plain))
         assert len(got) == 17 * 5 and got == wanted
+
+
+def test_nearest_in_blocks(spark, against_sql):
+    """Copies tie by key, near ties go by millionths, and no pair becomes a row."""
+    made = "SELECT i::BIGINT AS vec_id, list_transform(generate_series(1, 64), lambda k: (((i % 37) * k * 7919 % 101) / 101 - 0.5 + (i % 3) * 3e-8)::FLOAT) AS embedding, 0 AS label FROM range(900) r(i)"
+    for name in ("maxsim_topk",):
+        against_sql(name, embeddings=made)
+    vectors = spark.createDataFrame([(i, [float(i), 1.0] if i else None) for i in range(5)], "key long, vector array<double>")
+    for few, n in ((vectors.where("key > 0"), 4), (vectors, 5), (vectors.where("key > 9"), 0)):
+        found = retrieval.nearest(few, few.where("key = 2"), 2)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert ("MapInArrow" in plan) == (n != 5) and [(r.query, r.doc, r.score_e6) for r in found.orderBy("rank").collect()] == [(2, 4, 9_000_000), (2, 3, 7_000_000)][: n and 2]
